@@ -29,5 +29,24 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op8_byte_bpe": op8_byte_bpe}
+def op6_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store every text as baseline JPEG, read the stored bytes back, and return digests and features."""
+    from moothall.llm import jpeg
+
+    docs = table(spark, sf_dir, "documents").withColumn("media", jpeg.text_as_images(F.col("text")))
+    docs = docs.withColumn("read", jpeg.image_features(F.col("media")))
+    payload = F.col("read.payload")
+    return docs.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.octet_length(payload).cast("long").alias("payload_bytes"),
+        F.sha2(payload, 256).alias("payload_sha256"),
+        F.crc32(F.substring(payload, -32, 32)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.col("read.feature").alias("feature"),
+    )
+
+
+QUERIES: dict[str, Query] = {"op6_jpeg_media": op6_jpeg_media, "op8_byte_bpe": op8_byte_bpe}
 ORACLE_SQL: dict[str, str] = {}
