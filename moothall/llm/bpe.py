@@ -24,11 +24,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Characters of text, or words of a longer text, that are held as Python strings at once.
-CHARS, WORDS = 2_000_000, 400_000
+CHARS, WORDS = 2_000_000, 300_000
 #: Bytes up to which a word counts as short; words that one recursive query takes; words in each half of the cache.
-SHORT, CHUNK, CACHE = 48, 50_000, 250_000
+SHORT, CHUNK, CACHE = 48, 30_000, 150_000
 #: Tokens that one decoding query takes.
-TOKENS = 400_000
+TOKENS = 200_000
 
 _ENCODE_SHORT = """
 WITH RECURSIVE t(w, step, pos, tok, nxt, rank) AS (
@@ -100,7 +100,7 @@ class Codec:
             for i in range(1, len(t))
             if t[:i] in ranks and t[i:] in ranks
         ]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         key, rank = map(np.array, zip(*pairs))
         self.register("m", pa.table({"key": pa.array(key, pa.int64()), "rank": pa.array(rank, pa.int32())}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM m")
@@ -235,6 +235,21 @@ def encode(text: Column, vocabulary: str, pattern: str) -> Column:
     return coded(text)
 
 
+def round_trip(text: Column, vocabulary: str, pattern: str) -> Column:
+    """struct<ids, decoded>: what ``encode`` gives, and what ``decode`` makes of that, by one codec in each worker."""
+    with open(vocabulary, "rb") as f:
+        ranks_file = f.read()
+
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = _codec(ranks_file, pattern)
+        for texts in batches:
+            ids = codec.encode(texts.fillna("").tolist())
+            decoded = [b for part in _pieces(ids, 4 * TOKENS) for b in codec.decode(part)]
+            yield pd.DataFrame({"ids": ids, "decoded": decoded})
+
+    return F.pandas_udf(both, "ids binary, decoded binary")(text)
+
+
 def decode(ids: Column, vocabulary: str, pattern: str) -> Column:
     """The bytes that a binary column of ids stands for."""
     with open(vocabulary, "rb") as f:

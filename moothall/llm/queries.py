@@ -20,13 +20,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from moothall.llm import bpe
 
     vocabulary, pattern = tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN
-    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), vocabulary, pattern).alias("ids"))
-    docs = docs.withColumn("decoded", bpe.decode(F.col("ids"), vocabulary, pattern))
+    docs = table(spark, sf_dir, "documents").withColumn("made", bpe.round_trip(F.col("text"), vocabulary, pattern))
     return docs.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("made.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("made.ids", 256).alias("ids_sha256"),
+        F.sha2("made.decoded", 256).alias("decoded_sha256"),
     )
 
 
