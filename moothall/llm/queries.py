@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moothall.llm import decontaminate, secrets
+from moothall.llm import decontaminate, licenses, secrets
 from moothall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,26 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document; its source is its host, and a language of a source is a path."""
+    from moothall.llm import quality
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.scored(docs, labels, F.col("source"), F.col("lang"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share, word for word or nearly."""
+    from moothall.llm import passages
+
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document lie in benchmark windows, and whose they are."""
     return decontaminate.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -89,9 +109,16 @@ QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_quality": op4_quality,
+    "op5_license_scan": op5_license_scan,
     "op6_jpeg_media": op6_jpeg_media,
+    "op7_repeated_passages": op7_repeated_passages,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLE_SQL: dict[str, str] = {"op9_decontaminate": decontaminate.ORACLE, "op10_secret_scan": secrets.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": licenses.ORACLE,
+    "op9_decontaminate": decontaminate.ORACLE,
+    "op10_secret_scan": secrets.ORACLE,
+}
