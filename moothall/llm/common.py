@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import moothall
+
 #: A word: a run of digits, small ASCII letters and characters beyond ASCII, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,8 +23,23 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session's cluster, once."""
+    sc = spark.sparkContext
+    if getattr(sc, "_moothall_shipped", False):
+        return
+    root = Path(moothall.__file__).parent
+    file = Path(tempfile.mkdtemp()) / "moothall.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"moothall/{p.relative_to(root)}")
+    sc.addPyFile(str(file))
+    sc._moothall_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from moothall.llm.common import cut
 
 #: Features in the model, labelled documents that a feature needs, how clearly and how much it must tell, rows of the fit.
-MODEL, LEAST, CLEAR, MUCH, CALIBRATION = 20_000, 8, 4.0, 0.7, 4000
+MODEL, LEAST, CLEAR, MUCH, CALIBRATION = 20_000, 4, 4.0, 0.7, 4000
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -86,7 +86,10 @@ def log_ratios(labelled: DataFrame, labels: tuple[str, ...]) -> dict[str, list[f
         own = F.coalesce(f"s_{x}", F.lit(0.0))
         yes, no = own + 0.5, F.col(f"n_{x}") - own + 0.5
         ratio = F.log(yes / F.lit(s + 1.0)) - F.log(no / F.lit(n - s + 1.0))
-        clear = F.abs(ratio) / F.sqrt(1 / yes + 1 / no)
+        n_own, p = F.col(f"n_{x}"), F.lit((s + 0.5) / (n + 1))
+        # the likelihood-ratio test that having the feature makes no difference, as standard deviations
+        part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / (n_own * share))).otherwise(0.0)
+        clear = F.sqrt(2 * F.greatest(part(own, p) + part(n_own - own, 1 - p), F.lit(0.0)))
         told = counts.select("feature", ratio.alias("ratio"), clear.alias("clear"))
         told = told.where((F.col("clear") >= CLEAR) & (F.abs("ratio") >= MUCH))
         for r in told.orderBy(F.desc("clear"), "feature").limit(MODEL).collect():
