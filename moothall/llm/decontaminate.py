@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moothall.llm.common import once, words_of
+from moothall.llm.common import once, settled, words_of
 
 #: Words of a window, and windows up to which the benchmark's are broadcast.
 N, MAX_BROADCAST = 10, 1_000_000
@@ -77,6 +77,7 @@ def hit_words(hits: Column) -> Column:
 
 def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document: how many of its words lie in benchmark windows, and whose."""
+    docs = settled(docs)
     found = find_leaks(docs, benchmark)
     names = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id")
     found = found.join(names, "row")
@@ -96,7 +97,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """``docs`` without contaminated documents, or (``remove="spans"``) with their hit words cut out of the texts.
 
     Columns stay as they are; other columns that describe a text, such as its length, are the caller's to update."""
-    own = docs.columns
+    own, docs = docs.columns, settled(docs)
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     found = find_leaks(docs, benchmark).where(F.size("hits") > 0)
     if remove == "documents":

@@ -19,7 +19,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from moothall.llm.common import once, words_of
+from moothall.llm.common import once, settled, words_of
 
 #: Share of a notice's runs that a span must have, and words between diagonals that are still neighbours.
 LEAST, NEAR = 0.6, 3
@@ -104,6 +104,7 @@ def license_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def license_report(docs: DataFrame) -> DataFrame:
     """One row for each document: words, places of the base phrases, labels and the best span's share."""
+    docs = settled(docs)
     spans = license_spans(docs.select("text"))
     base = F.col("base") & F.col("template").isNotNull()
     labels = lambda x: F.array_join(F.array_sort(F.collect_set(x)), ",")

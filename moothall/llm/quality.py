@@ -173,5 +173,5 @@ def scored(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Da
         "path_posterior",
         quality.alias("quality"),
         F.col("p_toxic").alias("toxic"),
-        ((quality >= 0.5) & (F.col("p_toxic") < 0.5)).alias("keep"),
+        ((quality >= 0.5) & (F.col("p_toxic") <= 0.5)).alias("keep"),
     )

@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moothall.llm.common import once, settled
+
 
 def _either_case(word: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -89,7 +91,7 @@ def scan_unseen(
 ) -> DataFrame:
     """Rows for the ledger: (blob, rule_version, findings) for each blob that ``ledger`` lacks at this version and that
     has findings; ``findings`` is an array of (start, rule, end, kind) in order."""
-    all_versions = versions(docs)
+    all_versions = versions(settled(docs))
     first = all_versions.groupBy("blob").agg(F.min("row").alias("row"))
     if ledger is not None:
         first = first.join(ledger.where(F.col("rule_version") == version), "blob", "left_anti")
@@ -157,7 +159,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             F.concat(done, F.array(x))
         )
 
-    found = once_merged(found, F.aggregate(spans, nothing, joined))
+    found = once(found, __merged=F.aggregate(spans, nothing, joined))
     begin = F.concat(F.array(F.lit(0)), F.col("__merged.end"))
     end = F.concat(F.col("__merged.start"), F.array(F.char_length("text")))
     pieces = F.zip_with(begin, end, lambda a, b: F.substring(F.col("text"), a + 1, b - a))
@@ -165,12 +167,6 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     return found.withColumn("text", text).select(*own)
 
 
-def once_merged(found: DataFrame, merged: Column) -> DataFrame:
-    from moothall.llm.common import once
-
-    return once(found, __merged=merged)
-
-
 def _oracle() -> str:
     quoted = lambda x: x.replace("'", "''")
     parts = " UNION ALL ".join(
