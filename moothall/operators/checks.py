@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 #: The system that a parent class is for, and parents that need no methods of their own.
 EXPECTED = {"ModGovCouncillorScraper": "ModernGov", "CMISCouncillorScraper": "CMIS", "HTMLCouncillorScraper": "Custom HTML"}
 COMPLETE = ("ModGovCouncillorScraper", "CMISCouncillorScraper")
+# What reports say.
+NO_SOURCE = "No councillors.py file found"
+UNREADABLE = "Could not load scraper class information"
+NO_BASE = "No base_url found in metadata. Please set services.councillors.base_url in metadata.json"
+MISMATCH = "CMS type mismatch: scraper uses '%s' (suggests '%s') but metadata has '%s'"
+SKIPPED = "Scraper is disabled - base_url validation skipped"
+SUGGESTED = "Consider setting %s"
 
 
 def said(**messages: tuple[Column, Column | str]) -> Column:
@@ -28,9 +35,9 @@ def validated(councils: DataFrame, facts: DataFrame) -> DataFrame:
     public = F.filter("methods", lambda m: ~m.startswith("_"))
     upper = F.upper("content")
     errors = said(
-        none=(~source, "No councillors.py file found"),
-        unread=(source & ~read, "Could not load scraper class information"),
-        base=(read & ~off & base.isNull(), "No base_url found in metadata. Please set services.councillors.base_url in metadata.json"),
+        none=(~source, NO_SOURCE),
+        unread=(source & ~read, UNREADABLE),
+        base=(read & ~off & base.isNull(), NO_BASE),
     )
     warnings = said(
         todo=(read & upper.contains("TODO"), "Contains TODO comments"),
@@ -39,13 +46,13 @@ def validated(councils: DataFrame, facts: DataFrame) -> DataFrame:
         methods=(read & (F.size(public) == 0) & ~parent.isin(*COMPLETE), "No public methods found"),
         system=(
             read & cms.isNotNull() & expected.isNotNull() & (expected != cms),
-            F.format_string("CMS type mismatch: scraper uses '%s' (suggests '%s') but metadata has '%s'", parent, expected, cms),
+            F.format_string(MISMATCH, parent, expected, cms),
         ),
     )
     suggestions = said(
-        cms=(read & cms.isNull(), "Consider setting cms_type"),
-        base=(read & base.isNull(), "Consider setting base_url"),
-        off=(read & off, "Scraper is disabled - base_url validation skipped"),
+        cms=(read & cms.isNull(), SUGGESTED % "cms_type"),
+        base=(read & base.isNull(), SUGGESTED % "base_url"),
+        off=(read & off, SKIPPED),
     )
     return both.select("council_id", read.alias("valid"), warnings.alias("warnings"), errors.alias("errors"), suggestions.alias("suggestions"))
 
