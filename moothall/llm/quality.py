@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -29,37 +30,31 @@ from moothall.llm.common import cut
 #: Features in the model, labelled documents that a feature needs, how clearly and how much it must tell, rows of the fit.
 MODEL, LEAST, CLEAR, MUCH, CALIBRATION = 20_000, 4, 4.0, 0.7, 4000
 
-_TOKEN = re.compile(r"\w+|[^\w\s]+")
+_WORD, _SIGNS, _CAPITALS = re.compile(r"\w+"), re.compile(r"[^\w\s]{2,}"), re.compile(r"\b[A-Z]{2,}\b")
 
 
-def features(text: str) -> list[str]:
+def features(text: str) -> set[str]:
     """The different words of a text, and its shapes: shares of signs, capitals and repetition in coarse steps."""
-    tokens = _TOKEN.findall(text)
-    if not tokens:
-        return ["shape:empty"]
-    words = [t for t in tokens if t[0].isalnum() or t[0] == "_"]
-    n = len(words) or 1
-    signs = [t for t in tokens if len(t) > 1 and not (t[0].isalnum() or t[0] == "_")]
-    found = {t.lower() for t in words}
-    step = lambda share: min(int(share * 8), 8)
+    words = _WORD.findall(text.lower())
+    n = len(words)
+    if not n and not text.strip():
+        return {"shape:empty"}
+    found = set(words)
+    step = lambda count, of: min(count * 8 // (of or 1), 8)
     lines = text.split("\n")
-    shapes = {
-        f"shape:signs{step(len(signs) / n)}",
-        f"shape:bars{step(tokens.count('|') / n)}",
-        f"shape:capitals{step(sum(w.isupper() and len(w) > 1 for w in words) / n)}",
-        f"shape:lines{step(1 - len(set(lines)) / len(lines))}",
-    }
+    found.add(f"shape:signs{step(len(_SIGNS.findall(text)), n)}")
+    found.add(f"shape:bars{step(text.count('|'), n)}")
+    found.add(f"shape:capitals{step(len(_CAPITALS.findall(text)), n)}")
+    found.add(f"shape:lines{step(len(lines) - len(set(lines)), len(lines))}")
     if n >= 20:
         # longer texts repeat more words; runs of one word are what tells
-        shapes.add(f"shape:runs{step(sum(a == b for a, b in zip(words, words[1:])) / n)}")
-        pairs = len(set(zip(words, words[1:]))) / n
-        shapes.add(f"shape:pairs{step(pairs)}")
-    return sorted(found | shapes)
+        found.add(f"shape:runs{step(sum(map(eq, words, words[1:])), n)}")
+    return found
 
 
 def _featured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
-        yield pd.Series([features(x) for x in texts.fillna("")], dtype=object)
+        yield pd.Series([list(features(x)) for x in texts.fillna("")], dtype=object)
 
 
 def featured(text: Column) -> Column:
@@ -113,13 +108,15 @@ def _fit_sigmoid(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def evidence(rows: DataFrame, labelled: DataFrame, labels: tuple[str, ...] = ("quality", "toxic")) -> DataFrame:
     """``rows`` (row, text, ...) with a probability ``p_<label>`` for each label."""
     table = log_ratios(labelled, labels)
-    width = len(labels)
+    width, known = len(labels), set(table)
 
     def summed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        nothing = [0.0] * width
         for texts in batches:
-            sums = [np.sum([table.get(f, nothing) for f in features(x)], axis=0) for x in texts.fillna("")]
-            yield pd.DataFrame(np.array(sums).reshape(-1, width), columns=[f"s_{x}" for x in labels])
+            sums = np.zeros((len(texts), width))
+            for i, x in enumerate(texts.fillna("")):
+                for f in sorted(known & features(x)):
+                    sums[i] += table[f]
+            yield pd.DataFrame(sums, columns=[f"s_{x}" for x in labels])
 
     sums = F.pandas_udf(summed, ", ".join(f"s_{x} double" for x in labels))
     sample = labelled.orderBy("order").limit(CALIBRATION).select(sums(F.col("text")).alias("s"), *labels).collect()
