@@ -1,12 +1,12 @@
 """License scans by diagonal voting.
 
-Every run of two and of three words of a document is hashed and joined to the positions of such runs in the license
-templates; the join compares the words themselves. A hit votes for the diagonal on which the template would start:
+Every pair of neighbouring words of a document (its rolling 2-grams) is hashed and joined to the positions of such pairs in
+the license templates; the join compares the words themselves. A hit votes for the diagonal on which the template would start:
 its place in the document less its place in the template. Votes are summed by diagonal, neighbouring diagonals (words
-were put in or left out) are merged into spans, and a span is verified by the share of the template's runs it has.
+were put in or left out) are merged into spans, and a span is verified by the share of the template's pairs it has.
 
-Base templates are short phrases, whose spans need every run on one diagonal, so they are exact occurrences. Notices
-need ``LEAST`` of their runs. The templates are fixed values of a few hundred words, so their table is broadcast.
+Base templates are short phrases, whose spans need every pair on one diagonal, so they are exact occurrences. Notices
+need ``LEAST`` of their pairs. The templates are fixed values of a few hundred words, so their table is broadcast.
 
 Defined results: null text is empty: no words, no places, empty labels, score 0; places are word numbers from 0; every
 row of the input gives one row.
@@ -14,14 +14,12 @@ row of the input gives one row.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moothall.llm.common import once, settled, words_of
 
-#: Share of a notice's runs that a span must have, and words between diagonals that are still neighbours.
+#: Share of a notice's pairs that a span must have, and words between diagonals that are still neighbours.
 LEAST, NEAR = 0.6, 3
 
 # Phrases and the labels they stand for.
@@ -43,33 +41,28 @@ NOTICES = {
 }
 
 
-def template_rows() -> list[tuple[int, str, bool, int, int, list[str]]]:
-    """(template, label, base, number of runs, place, words of the run); phrases go by twos and notices by threes."""
+def template_rows() -> list[tuple[int, str, bool, int, int, str, str]]:
+    """(template, label, base, number of pairs, place, first word, second word)."""
     out = []
-    texts = [(t, label, True, 2) for t, label in PHRASES.items()] + [(t, label, False, 3) for t, label in NOTICES.items()]
-    for number, (text, label, base, k) in enumerate(texts):
-        words = re.split(" +", text)
-        n = len(words) - k + 1
-        out += [(number, label, base, n, i, words[i : i + k]) for i in range(n)]
+    texts = [(t, label, True) for t, label in PHRASES.items()] + [(t, label, False) for t, label in NOTICES.items()]
+    for number, (text, label, base) in enumerate(texts):
+        words = text.split(" ")
+        out += [(number, label, base, len(words) - 1, i, a, b) for i, (a, b) in enumerate(zip(words, words[1:]))]
     return out
 
 
 def templates(spark: SparkSession) -> DataFrame:
     rows = spark.createDataFrame(
-        template_rows(), "template int, label string, base boolean, n_runs int, place int, run array<string>"
+        template_rows(), "template int, label string, base boolean, n_pairs int, place int, one string, two string"
     )
-    return rows.withColumn("key", F.xxhash64("run"))
+    return rows.withColumn("own_key", F.xxhash64("one", "two"))
 
 
-def _runs(words: Column) -> Column:
-    """(place, run) of all runs of two and three words."""
+def _pairs(words: Column) -> Column:
+    """(place, word, next word) of all neighbours."""
     n = F.size(words)
-
-    def of(k: int) -> Column:
-        places = F.when(n >= k, F.sequence(F.lit(1), n - (k - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.struct((i - 1).alias("at"), F.slice(words, i, k).alias("run")))
-
-    return F.concat(of(2), of(3))
+    places = F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.struct(i.alias("at"), F.get(words, i).alias("a"), F.get(words, i + 1).alias("b")))
 
 
 def license_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -77,26 +70,29 @@ def license_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     template and its number of words in ``n_words``."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
     rows = once(rows, words=words_of(F.col("text")))
-    head = F.struct((-1 - F.size("words")).alias("at"), F.lit(None).cast("array<string>").alias("run"))
-    rows = rows.select("row", F.inline(F.concat(F.array(head), _runs(F.col("words"))))).withColumn("key", F.xxhash64("run"))
-    known = templates(docs.sparkSession).withColumnRenamed("run", "said").withColumnRenamed("key", "own_key")
-    met = rows.join(F.broadcast(known), (rows.key == F.col("own_key")) & (rows.run == F.col("said")), "left")
+    none = F.lit(None).cast("string")
+    head = F.struct((-1 - F.size("words")).alias("at"), none.alias("a"), none.alias("b"))
+    rows = rows.select("row", F.inline(F.concat(F.array(head), _pairs(F.col("words")))))
+    rows = rows.withColumn("key", F.when(F.col("at") >= 0, F.xxhash64("a", "b")))
+    known = F.broadcast(templates(docs.sparkSession))
+    same = (F.col("key") == F.col("own_key")) & (F.col("a") == F.col("one")) & (F.col("b") == F.col("two"))
+    met = rows.join(known, same, "left")
     met = met.where("at < 0 OR template IS NOT NULL")
-    met = met.select("row", "at", "template", "label", "base", "n_runs", "place", (F.col("at") - F.coalesce("place", F.lit(0))).alias("diagonal"))
+    met = met.select("row", "at", "template", "label", "base", "n_pairs", "place", (F.col("at") - F.coalesce("place", F.lit(0))).alias("diagonal"))
     # all that follows is by row: one shuffle, of head rows and hits
-    votes = met.repartition("row").groupBy("row", "template", "label", "base", "n_runs", "diagonal")
+    votes = met.repartition("row").groupBy("row", "template", "label", "base", "n_pairs", "diagonal")
     votes = votes.agg(F.collect_set("place").alias("places"), F.min("at").alias("start"), F.max("at").alias("stop"))
     order = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > F.when(F.col("base"), 0).otherwise(NEAR), F.lit(True))
     votes = votes.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(order))
-    spans = votes.groupBy("row", "template", "label", "base", "n_runs", "span").agg(
+    spans = votes.groupBy("row", "template", "label", "base", "n_pairs", "span").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found"),
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
     )
-    share = F.col("found") / F.col("n_runs")
+    share = F.col("found") / F.col("n_pairs")
     spans = spans.withColumn("share", share).where(
-        F.col("template").isNull() | F.when(F.col("base"), F.col("found") == F.col("n_runs")).otherwise(F.col("share") >= LEAST)
+        F.col("template").isNull() | F.when(F.col("base"), F.col("found") == F.col("n_pairs")).otherwise(F.col("share") >= LEAST)
     )
     n_words = F.when(F.col("template").isNull(), -1 - F.col("start"))
     return spans.select("row", "template", "label", "base", "start", "stop", "share", n_words.alias("n_words"))
@@ -124,24 +120,24 @@ def license_report(docs: DataFrame) -> DataFrame:
 def _oracle() -> str:
     from moothall.llm.decontaminate import _WORDS_SQL
 
-    rows = ", ".join(f"({t}, '{label}', {base}, {n}, {p}, {run!r})" for t, label, base, n, p, run in template_rows())
+    rows = ", ".join(f"({t}, '{label}', {base}, {n}, {p}, '{a}', '{b}')" for t, label, base, n, p, a, b in template_rows())
     return f"""
-WITH known AS (SELECT * FROM (VALUES {rows}) AS v(template, label, base, n_runs, place, run)),
+WITH known AS (SELECT * FROM (VALUES {rows}) AS v(template, label, base, n_pairs, place, one, two)),
 doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS w FROM documents),
-runs AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc, (VALUES (2), (3)) AS t(k) WHERE len(w) >= k),
+pairs AS (SELECT r, w, unnest(range(1, len(w))) AS i FROM doc WHERE len(w) > 1),
 hit AS (
-  SELECT r, i - 1 AS spot, template, label, base, n_runs, place, i - 1 - place AS diagonal
-  FROM (SELECT r, i, list_slice(w, i, i + k - 1) AS run FROM runs) s JOIN known USING (run)),
+  SELECT r, i - 1 AS spot, template, label, base, n_pairs, place, i - 1 - place AS diagonal
+  FROM (SELECT r, i, w[i] AS one, w[i + 1] AS two FROM pairs) s JOIN known USING (one, two)),
 vote AS (
   SELECT *, coalesce(diagonal - lag(diagonal) OVER o > CASE WHEN base THEN 0 ELSE {NEAR} END, true) AS apart
-  FROM (SELECT r, template, label, base, n_runs, diagonal, min(spot) AS start, list(DISTINCT place) AS places
+  FROM (SELECT r, template, label, base, n_pairs, diagonal, min(spot) AS start, list(DISTINCT place) AS places
         FROM hit GROUP BY ALL)
   WINDOW o AS (PARTITION BY r, template ORDER BY diagonal)),
 spanned AS (SELECT *, sum(apart::INT) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM vote),
 span AS (
-  SELECT r, template, label, base, n_runs, min(start) AS start, len(list_distinct(flatten(list(places)))) AS found
-  FROM spanned GROUP BY r, template, label, base, n_runs, span),
-good AS (SELECT *, found / n_runs AS share FROM span WHERE CASE WHEN base THEN found = n_runs ELSE found / n_runs >= {LEAST} END),
+  SELECT r, template, label, base, n_pairs, min(start) AS start, len(list_distinct(flatten(list(places)))) AS found
+  FROM spanned GROUP BY r, template, label, base, n_pairs, span),
+good AS (SELECT *, found / n_pairs AS share FROM span WHERE CASE WHEN base THEN found = n_pairs ELSE found / n_pairs >= {LEAST} END),
 total AS (
   SELECT r, count(*) FILTER (base) AS n, min(start) FILTER (base) AS a, max(start) FILTER (base) AS b, max(share) AS score,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
