@@ -1,8 +1,8 @@
 """Quality by hierarchical empirical Bayes.
 
 A document's own evidence is a sum of log-likelihood ratios of the words and shapes it has. The ratios come from grouped
-counts over all labelled documents; only those that stand out clearly count, and at most ``MODEL`` of them, which bounds
-what is broadcast. The sum becomes a probability by a two-parameter fit on a bounded sample (``CALIBRATION`` rows).
+counts over a bounded sample of labelled documents (``SAMPLE``, by hash of their ids); only those that stand out clearly
+count, and at most ``MODEL`` of them, which bounds what is broadcast. The sum becomes a probability by a two-parameter fit on a bounded sample (``CALIBRATION`` rows).
 
 Hosts and paths then get posteriors by grouped aggregation over all documents: labels where there are any, the evidence
 elsewhere. A host's mean is shrunk toward the global mean and a path's toward its host's, by concentrations that the
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from moothall.llm.common import cut
 
+#: Labelled documents that features are learned from.
+SAMPLE = 20_000
 #: Features in the model, labelled documents that a feature needs, how clearly and how much it must tell, rows of the fit.
 MODEL, LEAST, CLEAR, MUCH, CALIBRATION = 20_000, 4, 4.0, 0.7, 4000
 
@@ -67,7 +69,7 @@ def _logit(p: Column) -> Column:
 
 
 def log_ratios(labelled: DataFrame, labels: tuple[str, ...]) -> dict[str, list[float]]:
-    """What having a feature says about each label (0 or 1), from one pass over all labelled rows; ``MODEL`` features for
+    """What having a feature says about each label (0 or 1), from one pass over the labelled rows; ``MODEL`` features for
     each label at most, and 0 where a feature says nothing clear."""
     each = labelled.select(*labels, F.explode("features").alias("feature")).groupBy("feature")
     sums = [f(x).cast("double").alias(f"{k}_{x}") for x in labels for k, f in (("n", F.count), ("s", F.sum))]
@@ -105,9 +107,8 @@ def _fit_sigmoid(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(max(beta[1], 0.0))
 
 
-def evidence(rows: DataFrame, labelled: DataFrame, labels: tuple[str, ...] = ("quality", "toxic")) -> DataFrame:
-    """``rows`` (row, text, ...) with a probability ``p_<label>`` for each label."""
-    table = log_ratios(labelled, labels)
+def sums_of(text: Column, table: dict[str, list[float]], labels: tuple[str, ...]) -> Column:
+    """struct of a text's sum of ratios for each label."""
     width, known = len(labels), set(table)
 
     def summed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -116,16 +117,19 @@ def evidence(rows: DataFrame, labelled: DataFrame, labels: tuple[str, ...] = ("q
             for i, x in enumerate(texts.fillna("")):
                 for f in sorted(known & features(x)):
                     sums[i] += table[f]
-            yield pd.DataFrame(sums, columns=[f"s_{x}" for x in labels])
+            yield pd.DataFrame(sums, columns=list(labels))
 
-    sums = F.pandas_udf(summed, ", ".join(f"s_{x} double" for x in labels))
-    sample = labelled.orderBy("order").limit(CALIBRATION).select(sums(F.col("text")).alias("s"), *labels).collect()
-    rows = rows.withColumn("__s", sums(F.col("text")))
+    return F.pandas_udf(summed, ", ".join(f"{x} double" for x in labels))(text)
+
+
+def calibrated(rows: DataFrame, labels: tuple[str, ...]) -> DataFrame:
+    """``rows`` (row, sums, said) with a probability ``p_<label>`` for each label, fitted on a bounded sample."""
+    sample = rows.where("said IS NOT NULL").orderBy(F.xxhash64("row"), "row").limit(CALIBRATION).select("sums", "said").collect()
     for x in labels:
-        got = [(r["s"][f"s_{x}"], r[x]) for r in sample if r[x] is not None]
+        got = [(r["sums"][x], r["said"][x]) for r in sample if r["said"][x] is not None]
         a, b = _fit_sigmoid(np.array([g[0] for g in got]), np.array([float(g[1]) for g in got]))
-        rows = rows.withColumn(f"p_{x}", 1 / (1 + F.exp(-(a + b * F.col(f"__s.s_{x}")))))
-    return rows.drop("__s")
+        rows = rows.withColumn(f"p_{x}", 1 / (1 + F.exp(-(a + b * F.col(f"sums.{x}")))))
+    return rows
 
 
 def _concentration(means: DataFrame, mean: Column) -> Column:
@@ -152,13 +156,17 @@ def site_posteriors(rows: DataFrame) -> DataFrame:
 def scored(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """doc_id, evidence, host_posterior, path_posterior, quality, toxic and keep for each row of ``docs``."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", host.alias("host"), path.alias("path"))
-    truth = labels.groupBy("doc_id").agg(F.round(F.avg("quality")).alias("quality"), F.round(F.avg("toxic")).alias("toxic"))
-    labelled = rows.join(truth, "doc_id").select(
-        "row", "text", "quality", "toxic", F.xxhash64("text").alias("order"), featured(F.col("text")).alias("features")
-    )
-    made = evidence(rows, labelled).select("row", "doc_id", "host", "path", "p_quality", "p_toxic")
-    made = cut(made.join(truth.select("doc_id", F.col("quality").alias("said")), "doc_id", "left"))
-    sites = site_posteriors(made.select("host", "path", F.coalesce("said", "p_quality").alias("y")))
+    names = ("quality", "toxic")
+    truth = labels.where("doc_id IS NOT NULL").groupBy("doc_id")
+    truth = cut(truth.agg(*[F.round(F.avg(x)).alias(x) for x in names]))
+    # a bounded sample of labels goes to the texts, so no text moves
+    sample = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    labelled = rows.join(F.broadcast(sample), "doc_id").select(*names, featured(F.col("text")).alias("features"))
+    table = log_ratios(labelled, names)
+    made = rows.select("row", "doc_id", "host", "path", sums_of(F.col("text"), table, names).alias("sums"))
+    made = cut(made.join(truth.select("doc_id", F.struct(*names).alias("said")), "doc_id", "left"))
+    made = calibrated(made, names)
+    sites = site_posteriors(made.select("host", "path", F.coalesce("said.quality", "p_quality").alias("y")))
     sites = sites.withColumnsRenamed({"host": "h", "path": "p"})
     made = made.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
     odds = _logit(F.col("p_quality")) + _logit(F.col("path_posterior")) - _logit(F.col("prior"))
