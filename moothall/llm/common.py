@@ -18,7 +18,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Hand rows to Python workers in batches of a few MB, however long the texts are."""
+    """Hand rows to Python workers in batches of a few MB, however long the texts are; and keep only the start of each
+    plan's text, of which iterative operators make hundreds that would fill the driver."""
+    spark.conf.set("spark.sql.maxPlanStringLength", "8192")
+    spark.conf.set("spark.sql.ui.explainMode", "simple")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
