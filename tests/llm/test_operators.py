@@ -365,6 +365,21 @@ def test_passages(spark):
     assert other == 15 and a <= 3 and b >= 116
 
 
+def test_passages_of_frequent_lines(spark):
+    lines = [prose(7000 + i, 30) for i in range(6)]
+    rows = [(10 * i + k, f"{prose(100 * i + k, 40)} {lines[i]} {prose(900 + 100 * i + k, 40)}", None) for i in range(6) for k in (0, 9)]
+    rows += [(10 * i + 5, f"{prose(7100 + i, 30)} {' '.join(lines[3 * i : 3 * i + 3])} {prose(7200 + i, 30)}", None) for i in (0, 1)]
+    rows += [(10 * i + 6, f"{prose(7300 + i, 50)} {' '.join(lines[3 * i : 3 * i + 3])} {prose(7400 + i, 50)}", None) for i in (0, 1)]
+    # a line and a passage that occur several times in a text
+    rows += [(70, f"{lines[0]} x1 {lines[1]} {prose(7500, 60)} {lines[0]} x2 {lines[2]}", None)]
+    rows.sort(key=lambda r: (r[0] % 10 == 9, r[0] % 10 != 0))
+    common.bounded_batches(spark)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").coalesce(1)
+    got = {(r["doc_id"], r["start"], r["stop"], r["other_id"]) for r in passages.repeated_passages(docs).collect()}
+    pairs = {(5, 30, 120, 6), (6, 50, 140, 5), (15, 30, 120, 16), (16, 50, 140, 15)}
+    assert pairs <= got and {g[0] for g in got} <= {5, 6, 15, 16, 70}
+
+
 def brute_chain(x, y):
     best = []
     for i in range(len(x)):
