@@ -380,6 +380,31 @@ def test_passages_of_frequent_lines(spark):
     assert pairs <= got and {g[0] for g in got} <= {5, 6, 15, 16, 70}
 
 
+def changed_pair(r, n, step=None, share=None):
+    """Two texts with a passage of ``n`` words of which every ``step``-th, or but ``share`` at random places, differ."""
+    a = [int(x) for x in r.integers(1, 2**62, n)]
+    b = list(a)
+    for i in range(step - 1, n, step) if step else r.choice(n, round(n * (1 - share)), replace=False):
+        b[i] = int(r.integers(1, 2**62))
+    around = lambda x: np.array([*r.integers(1, 2**62, 50), *x, *r.integers(1, 2**62, 50)], np.uint64)
+    return around(a), around(b)
+
+
+def test_passages_recall_of_changed_words():
+    r = np.random.default_rng(72)
+    cases = {(80, None, 0.8): 0.97, (80, None, 0.9): 0.99, (80, None, 0.95): 0.99, (80, 6, None): 0.97, (55, 20, None): 0.99}
+    for (n, step, share), least in cases.items():
+        met = found = 0
+        for _ in range(200):
+            a, b = changed_pair(r, n, step, share)
+            met += len(np.intersect1d(passages.seeds(a)[0], passages.seeds(b)[0])) > 0
+            got = passages.align_all(a, b)
+            found += any(f[1] - f[0] >= passages.LEAST and f[0] < 50 + n and f[1] > 50 for f in got)
+        print(n, step, share, met / 200, found / 200)
+        assert met >= 200 * least, (n, step, share, met)
+        assert found >= 200 * least, (n, step, share, found)
+
+
 def brute_chain(x, y):
     best = []
     for i in range(len(x)):
