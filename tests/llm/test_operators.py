@@ -191,6 +191,17 @@ def test_near_duplicates(spark):
     assert sorted(i for i in got if got[i]["keep"]) == sorted(set(want))
 
 
+def test_near_duplicates_with_a_repeated_block(spark):
+    texts = []
+    for g in range(12):
+        base, block = prose(3000 + g, 404), prose(4000 + g, 55)
+        texts += [base, f"{base} {' '.join([block] * 100)}"]
+    a, b = shingle_set(texts[0]), shingle_set(texts[1])
+    assert len(a & b) >= 0.8 * len(a | b)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicate_classes(docs_of(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = minhash.near_duplicate_classes(docs_of(spark, ODD)).collect()
     assert len(got) == len(ODD) and sum(r["keep"] for r in got) == len({t or "" for _, t, _ in ODD})
