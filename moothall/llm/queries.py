@@ -57,7 +57,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
-    return chat.conversation_digests(chat.format_turns(rows.unionByName(probe)))
+    return chat.conversation_digests(chat.format_turns(rows.unionByName(probe), lookback=chat.LOOKBACK))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

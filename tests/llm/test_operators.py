@@ -96,6 +96,28 @@ def test_chat_lookback_does_not_change_spans():
     assert outs[0] == outs[1] == outs[2]
 
 
+def test_chat_templates_that_look_far_back(spark):
+    def numbering(turns):
+        return "".join(f"<{i} {r}>{t};" for i, (r, t) in enumerate(turns))
+
+    def strict(turns):
+        if turns and turns[0][0] != "user":
+            raise ValueError("a conversation starts with a user turn")
+        return chat.instruct(turns)
+
+    def forgetting(turns):  # drops the first text from the 30th turn on
+        return "".join(f"<{r}>{t if i or len(turns) < 30 else ''};" for i, (r, t) in enumerate(turns))
+
+    turns = [(("user", "assistant")[i % 2], f"t{i}") for i in range(50)]
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    for lookback in (None, 16):
+        for template in (numbering, strict):
+            got = chat.format_turns(df, template, lookback).orderBy("pos").collect()
+            assert "".join(r["rendered"] for r in got) == template(turns) and not any(r["rewritten"] for r in got)
+            assert all(chat.unescape(template(turns)[r["text_start"] : r["text_end"]]) == turns[r["pos"]][1] for r in got)
+        assert [r["pos"] for r in chat.format_turns(df, forgetting, lookback).where("rewritten").collect()] == [29]
+
+
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.conversation_digests(chat.format_turns(df)).collect() == []
