@@ -6,6 +6,9 @@ A site with rules of its own passes Columns: what a field is, what to skip.
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,23 +107,30 @@ def with_details(rows: DataFrame, details: DataFrame, fields: dict[str, tuple[st
     return rows
 
 
-def linked_pages(pages: DataFrame, first: DataFrame, most: int = 1000) -> DataFrame:
+def linked_pages(pages: DataFrame, first: DataFrame) -> DataFrame:
     """(council_id, n, url, content) of captured list pages, from a council's first page along ``next_url``. A page that
-    was met before ends the chain, and so does one that wasn't captured."""
-    spark = pages.sparkSession
-    first.select("council_id", "url").createOrReplaceTempView("moothall_first_pages")
-    pages.select("url", "content", "next_url").createOrReplaceTempView("moothall_pages")
-    return spark.sql(
-        f"""
-        WITH RECURSIVE chain(council_id, n, url, next_url, seen) MAX RECURSION LEVEL {most} AS (
-          SELECT f.council_id, 0, p.url, p.next_url, array(p.url)
-          FROM moothall_first_pages f JOIN moothall_pages p ON f.url = p.url
-          UNION ALL
-          SELECT c.council_id, c.n + 1, p.url, p.next_url, array_append(c.seen, p.url)
-          FROM chain c JOIN moothall_pages p ON c.next_url = p.url WHERE NOT array_contains(c.seen, p.url))
-        SELECT c.council_id, c.n, c.url, p.content FROM chain c JOIN moothall_pages p ON c.url = p.url
-        """
-    )
+    was met before ends the chain, and so does one that wasn't captured.
+
+    Steps double: once the pages less than m steps away and each page's m-th next page are known, a join gives those less
+    than 2m steps away. So a chain of n pages takes log2(n) rounds, which end when one adds nothing."""
+    urls = pages.select("url").distinct()
+    step = _checkpointed(pages.select("url", F.col("next_url").alias("to")).distinct().join(urls.select(F.col("url").alias("to")), "to", "left_semi"))
+    met = first.select("council_id", "url").distinct().join(urls, "url", "left_semi").select("council_id", "url", F.lit(0).alias("n"))
+    met, m, known = _checkpointed(met), 1, 0
+    while known < (count := met.count()):
+        further = met.join(step, "url").select("council_id", F.col("to").alias("url"), (F.col("n") + m).alias("n"))
+        met, m, known = _checkpointed(met.unionByName(further).groupBy("council_id", "url").agg(F.min("n").alias("n"))), m * 2, count
+        step = _checkpointed(step.join(step.select(F.col("url").alias("to"), F.col("to").alias("further")), "to").select("url", F.col("further").alias("to")).distinct())
+    return met.join(pages.select("url", "content"), "url").select("council_id", "n", "url", "content")
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows with their lineage cut; the shared folder is the cluster's, and set only where none is named."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "moothall-checkpoints"))
+    return df.checkpoint(eager=True)
 
 
 def from_json(payloads: DataFrame, array: str, item: str, fields: dict[str, str], defaults: dict[str, str] | None = None) -> DataFrame:

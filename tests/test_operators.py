@@ -102,6 +102,14 @@ def test_linked_pages_stop_at_a_loop(spark):
     assert got == [("X", 0, "a"), ("X", 1, "b"), ("X", 2, "c"), ("Y", 0, "d")]
 
 
+def test_linked_pages_of_a_long_chain(spark):
+    n = 1500
+    pages = spark.range(n).selectExpr("concat('p', id) AS url", "'' AS content", "concat('p', id + 1) AS next_url")
+    first = spark.createDataFrame([("X", "p0"), ("Y", "p1490")], "council_id string, url string")
+    got = sorted((r["council_id"], r["n"], r["url"]) for r in extract.linked_pages(pages, first).collect())
+    assert got == [("X", i, f"p{i}") for i in range(n)] + [("Y", i, f"p{1490 + i}") for i in range(10)]
+
+
 def test_from_json(spark):
     content = json.dumps({"entries": [{"n": {"first": "Ann"}, "p": ""}, {"n": {"first": "Bo"}, "p": "Green"}]})
     rows = extract.from_json(
