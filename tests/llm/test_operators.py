@@ -224,6 +224,67 @@ def test_near_duplicates_with_a_repeated_block(spark):
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+def counted(monkeypatch):
+    """The numbers of pairs that are compared from now on, by round."""
+    rounds, verified = [], minhash._verified
+
+    def count(members, texts):
+        out = verified(members, texts)
+        rounds.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_verified", count)
+    return rounds
+
+
+def variants(seed, n, length, most, vocabulary):
+    """Texts that differ from one base in up to ``most`` words."""
+    r = random.Random(seed)
+    base = prose(seed, length).split(" ")
+    texts = []
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(r.randrange(1, most + 1)):
+            copy[r.randrange(length)] = f"v{r.randrange(vocabulary)}v"
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("vocabulary", [3, 1_000_000])
+def test_near_duplicates_around_the_threshold(spark, monkeypatch, vocabulary):
+    rounds = counted(monkeypatch)
+    texts = variants(5, 250, 80, 7, vocabulary) + variants(6, 150, 150, 14, vocabulary)
+    sets = [shingle_set(t) for t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicate_classes(docs_of(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()}
+    lost = [(a, b) for a, b in links if got[a] != got[b]]
+    assert len(lost) <= len(links) // 1000, (len(lost), len(links))
+    want = components_of(len(texts), links)
+    assert all(want[i] == want[got[i]] for i in got)
+    assert sum(rounds) < 20 * len(texts), rounds
+
+
+def test_strangers_with_a_common_core_are_parted(spark, monkeypatch):
+    rounds = counted(monkeypatch)
+    core = prose(9, 80)
+    texts = [f"{core} {prose(10_000 + i, 14, 10**6)}" for i in range(2000)]
+    a, b = shingle_set(texts[0]), shingle_set(texts[1])
+    assert 0.65 < len(a & b) / len(a | b) < 0.75
+    got = minhash.near_duplicate_classes(docs_of(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()
+    assert all(r["class_id"] == r["doc_id"] for r in got)
+    assert sum(rounds) < 30 * len(texts), rounds
+
+
+def test_estimate_of_weighted_shingles(spark):
+    rows = [("a b c d e " * 40 + prose(1, 30), "a b c d e " * 20 + prose(1, 30)), (prose(2, 300), prose(2, 300)), ("", ""), (None, "a b c d e f")]
+    got = spark.createDataFrame(rows, "x string, y string").select(minhash.estimate(F.col("x"), F.col("y")), minhash.estimate(F.col("x"), F.col("y"), False)).collect()
+    x, y = (shingles.shingles([t.encode()])[0] for t in rows[0])
+    x, y = (dict(zip(k.tolist(), n.tolist())) for k, n in (x, y))
+    true = sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in {*x, *y}) for i in {*x} & {*y})
+    assert abs(got[0][0] - true) < 0.12 and abs(got[0][1] - len({*x} & {*y}) / len({*x, *y})) < 0.12
+    assert got[1][0] == 1 and got[2][0] == 0 and got[3][0] == 0
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = minhash.near_duplicate_classes(docs_of(spark, ODD)).collect()
     assert len(got) == len(ODD) and sum(r["keep"] for r in got) == len({t or "" for _, t, _ in ODD})
@@ -258,6 +319,12 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[i] for i in range(31)} == {0} and {got[i] for i in (100, 101, 102, 200)} == {100}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    r = random.Random(3)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(200)]
+    first, more = (spark.createDataFrame(x, "a long, b long") for x in (links[:120], links[120:]))
+    want = components_of(300, links)
+    for labels in (graph.components(first.union(more)), graph.joined(graph.components(first), more)):
+        assert {r["node"]: r["label"] for r in labels.collect()} == {i: want[i] for i in {x for link in links for x in link}}
 
 
 # 4
