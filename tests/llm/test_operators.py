@@ -480,6 +480,44 @@ def test_passages_of_frequent_lines(spark):
     assert pairs <= got and {g[0] for g in got} <= {5, 6, 15, 16, 70}
 
 
+def test_passages_of_two_pieces_that_others_have_too(spark):
+    rows = []
+    for i in range(20):
+        one, two = prose(20_000 + i, 49, 10**6), prose(30_000 + i, 49, 10**6)
+        both = f"{one} {two}"
+        own = [one, two, both, both, one, two]
+        rows += [(10 * i + k, f"{prose(40_000 + 10 * i + k, 30, 10**6)} {t} {prose(50_000 + 10 * i + k, 30, 10**6)}", None) for k, t in enumerate(own)]
+    got = defaultdict(set)
+    for r in passages.repeated_passages(docs_of(spark, rows)).collect():
+        got[r["doc_id"]].add((r["other_id"], r["start"], r["stop"]))
+    assert got == {10 * i + k: {(10 * i + 5 - k, 30, 128)} for i in range(20) for k in (2, 3)}
+
+
+def test_passages_against_all_pairs(spark):
+    """Every stretch of a text that another one has too is in a passage."""
+    r = random.Random(12)
+    pool = [prose(60_000 + i, r.choice([20, 35, 55, 70])) for i in range(12)]
+    texts = []
+    for i in range(60):
+        parts = [prose(61_000 + 10 * i + k, r.randint(5, 40)) if r.random() < 0.5 else r.choice(pool) for k in range(5)]
+        texts.append(" ".join(parts))
+    coded = shingles.words([t.encode() for t in texts])
+    got = defaultdict(set)
+    for x in passages.repeated_passages(docs_of(spark, [(i, t, None) for i, t in enumerate(texts)])).collect():
+        got[x["doc_id"]] |= set(range(x["start"], x["stop"]))
+    wanted = found = 0
+    for i, a in enumerate(coded):
+        runs = {tuple(a[k : k + 50].tolist()): k for k in range(len(a) - 49)}
+        need = set()
+        for j, b in enumerate(coded):
+            if i != j:
+                for k in range(len(b) - 49):
+                    at = runs.get(tuple(b[k : k + 50].tolist()))
+                    need |= set(range(at, at + 50)) if at is not None else set()
+        wanted, found = wanted + len(need), found + len(need & got[i])
+    assert wanted > 1000 and found == wanted
+
+
 def changed_pair(r, n, step=None, share=None):
     """Two texts with a passage of ``n`` words of which every ``step``-th, or but ``share`` at random places, differ."""
     a = [int(x) for x in r.integers(1, 2**62, n)]
