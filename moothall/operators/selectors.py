@@ -1,8 +1,9 @@
 """CSS selectors over node tables.
 
 The subset that rosters use: tags, classes, ids, attributes (``=``, ``^=``, ``*=``, ``$=``), ``:first-child``,
-``:last-child``, ``:nth-child(n)``, descendants, children and comma lists. A simple selector is a predicate on one node;
-a combinator is a semi join of the nodes with their ancestors or parents on the same page.
+``:last-child``, ``:nth-child(n)``, descendants, children, next siblings (``+``) and comma lists; anything else is a
+ValueError. A simple selector is a predicate on one node; a combinator is a semi join of the nodes with their ancestors,
+parents or siblings on the same page.
 """
 
 from __future__ import annotations
@@ -13,7 +14,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_PART = re.compile(r"""\.([\w-]+)|\#([\w-]+)|\[([\w-]+)(?:([\^*$]?=)["']?([^\]"']*)["']?)?\]|:(first|last)-child|:nth-child\((\d+)\)|(\w+|\*)""")
+_PART = re.compile(r"""\.([\w-]+)|\#([\w-]+)|\[\s*([\w-]+)\s*(?:([\^*$]?=)\s*("[^"]*"|'[^']*'|[^\]"'\s]+)\s*)?\]|:(first|last)-child|:nth-child\(\s*(\d+)\s*\)|([\w-]+|\*)""")
+_SIMPLE = re.compile(f"(?:{_PART.pattern})+")
+
+
+def parts(css: str) -> list[list[tuple[str, str]]]:
+    """For each part of a comma list its (combinator, simple selector) steps; ValueError for what isn't supported."""
+    paths, steps, at, sign = [], [], 0, ""
+    css = css.strip()
+    while at < len(css):
+        m = _SIMPLE.match(css, at)
+        if not m:
+            raise ValueError(f"not a supported selector: {css!r}, at {at}")
+        steps.append((sign, m[0]))
+        gap = re.compile(r"\s*([>+,]?)\s*").match(css, m.end())
+        if gap.end() == m.end() and gap.end() < len(css):
+            raise ValueError(f"not a supported selector: {css!r}, at {gap.end()}")
+        at, sign = gap.end(), gap[1]
+        if sign == ",":
+            paths, steps, sign = [*paths, steps], [], ""
+    if not steps or sign:
+        raise ValueError(f"a selector that ends too soon: {css!r}")
+    return [*paths, steps]
 
 
 def predicate(simple: str) -> Column:
@@ -21,6 +43,7 @@ def predicate(simple: str) -> Column:
     tests = [F.lit(True)]
     for m in _PART.finditer(simple):
         cls, ident, attr, op, value, edge, nth, tag = m.groups()
+        value = (value or "").strip("\"'")
         if tag and tag != "*":
             tests.append(F.col("tag") == tag.lower())
         elif cls:
@@ -33,7 +56,7 @@ def predicate(simple: str) -> Column:
             tests.append(F.col("sib_index") == int(nth))
         elif attr:
             own = F.col("attrs")[attr]
-            tests.append({None: own.isNotNull(), "=": own == value, "^=": own.startswith(value or ""), "*=": own.contains(value or ""), "$=": own.endswith(value or "")}[op])
+            tests.append({None: own.isNotNull(), "=": own == value, "^=": own.startswith(value), "*=": own.contains(value), "$=": own.endswith(value)}[op])
     return F.coalesce(reduce(lambda a, b: a & b, tests), F.lit(False))
 
 
@@ -46,14 +69,21 @@ def inside(nodes: DataFrame, outer: DataFrame, key: str, child: bool = False) ->
     return nodes.join(o, on & (F.col("pre") > F.col("__pre")) & (F.col("pre") <= F.col("__end")), "left_semi")
 
 
+def following(nodes: DataFrame, before: DataFrame, key: str) -> DataFrame:
+    """The nodes right after any of ``before``, below the same parent."""
+    b = before.select(F.col(key).alias("__k"), F.col("parent").alias("__parent"), F.col("sib_index").alias("__at"))
+    same = F.col(key).eqNullSafe(F.col("__k")) & F.col("parent").eqNullSafe(F.col("__parent"))
+    return nodes.join(b, same & (F.col("sib_index") == F.col("__at") + 1), "left_semi")
+
+
 def select(nodes: DataFrame, css: str, key: str) -> DataFrame:
     """The nodes that a selector names; a node that several parts of a comma list name comes once."""
     found = []
-    for path in css.split(","):
-        steps = re.findall(r"(>?)\s*([^\s>]+)", path.strip())
+    for steps in parts(css):
         level = nodes.where(predicate(steps[0][1]))
-        for child, simple in steps[1:]:
-            level = inside(nodes.where(predicate(simple)), level, key, child == ">")
+        for sign, simple in steps[1:]:
+            named = nodes.where(predicate(simple))
+            level = following(named, level, key) if sign == "+" else inside(named, level, key, sign == ">")
         found.append(level)
     if len(found) == 1:
         return found[0]
@@ -86,3 +116,24 @@ def one_container(nodes: DataFrame, css: str, key: str) -> DataFrame:
     both = pages.join(found, F.col("__k").eqNullSafe(F.col(key)), "left")
     status = F.when(F.col("n").isNull(), "none").when(F.col("n") > 1, "several").otherwise("ok")
     return both.select(F.col("__k").alias(key), status.alias("status"), "c.pre", "c.end")
+
+
+#: By axis: which nodes stand there as seen from a node, and whether the nearest is the first or the last of them.
+AXES = {
+    "next": ("pre > __rpre", True),
+    "previous": ("pre < __rpre", False),
+    "parent": ("pre < __rpre AND __rpre <= end", False),
+    "next_sibling": ("parent <=> __rparent AND pre > __rpre", True),
+    "previous_sibling": ("parent <=> __rparent AND pre < __rpre", False),
+}
+
+
+def nearest(rows: DataFrame, nodes: DataFrame, axis: str, test: Column, value: Column, name: str, key: str) -> DataFrame:
+    """``rows`` (nodes with key, pre and parent) with ``name``: ``value`` of the nearest node on an axis that passes
+    ``test``, a condition on nodes, such as one on their tag or text; null where none does."""
+    where, first = AXES[axis]
+    found = nodes.where(test).select(F.col(key).alias("__k"), "pre", "end", "parent", value.alias("__value"))
+    own = rows.select(F.col(key).alias("__rk"), F.col("pre").alias("__rpre"), F.col("parent").alias("__rparent"))
+    hit = own.join(found, F.col("__rk").eqNullSafe(F.col("__k")) & F.expr(where))
+    hit = hit.groupBy("__rk", "__rpre").agg((F.min_by if first else F.max_by)("__value", "pre").alias(name))
+    return rows.join(hit, F.col(key).eqNullSafe(F.col("__rk")) & (F.col("pre") == F.col("__rpre")), "left").drop("__rk", "__rpre")

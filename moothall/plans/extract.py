@@ -16,15 +16,18 @@ from moothall import schemas
 from moothall.functions import links, text, values
 from moothall.operators import nodes, people, selectors
 
+#: More nodes than a page has: positions of a page's rows go on from those of the page before.
+PAGE_NODES = 1 << 32
+
 
 def ward_listing(payloads: DataFrame, skip: dict[str, Column] | None = None) -> DataFrame:
     """Office-holders from XML answers that list wards and the people of each. Columns of ``payloads``: council_id,
-    base_url, content. The last stated end of a term that isn't ``unspecified`` is when someone stands down."""
+    base_url, content. The end of the last term is when someone stands down, unless it is ``unspecified``."""
     parsed = payloads.withColumn("xml", F.from_xml("content", schemas.WARDS_XML.simpleString(), {"mode": "PERMISSIVE"}))
     wards = parsed.select("council_id", "base_url", F.posexplode("xml.wards.ward").alias("w", "ward"))
     rows = wards.select("council_id", "base_url", "w", "ward.wardtitle", F.posexplode("ward.councillors.councillor").alias("c", "p"))
-    ends = F.filter(F.col("p.termsofoffice.termofoffice.enddate"), lambda x: x != "unspecified")
-    last = F.try_element_at(ends, F.lit(-1))
+    ends = F.filter(F.col("p.termsofoffice.termofoffice.enddate"), lambda x: x.isNotNull())
+    last = F.nullif(F.trim(F.try_element_at(ends, F.lit(-1))), F.lit("unspecified"))
     rows = rows.select(
         "council_id",
         (F.col("w") * 100_000 + F.col("c")).alias("pos"),
@@ -82,19 +85,41 @@ def person_blocks(pages: DataFrame, details: DataFrame | None = None, division_l
     return rows.withColumn("skip", people.skip_reason({"vacant": F.contains("name", F.lit("Vacancy"))}))
 
 
-def list_pages(pages: DataFrame, container: str, row: str, fields: dict[str, tuple[str, Column]], link: str = "a", skip: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+def list_pages(
+    pages: DataFrame, container: str, row: str, fields: dict[str, tuple[str, Column]], link: str = "a", skip: dict[str, Column] | None = None, paged: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(rows, failures) of list pages (council_id, url, content): a container, rows in it, and fields as (selector, value
-    Column of the node). ``link`` is resolved against the page. Pages with no container or with several fail, alone."""
-    tree = nodes.node_table(pages, "council_id", "content").persist()
-    boxes = selectors.one_container(tree, container, "council_id")
-    good = boxes.where("status = 'ok'").select("council_id", "pre", "end")
-    rows = selectors.inside(selectors.select(tree, row, "council_id"), good, "council_id").select("council_id", "pre", "end", "text_strip")
-    rows = selectors.field(rows, tree, link, F.col("attrs")["href"], "href", "council_id")
+    Column of the node). ``link`` is resolved against the page. Pages with no container or with several fail, alone.
+
+    With ``paged`` a council has several pages, numbered by a column ``n`` from 0 (``linked_pages`` gives them); rows go
+    on from page to page, and of several containers of a page the first one counts."""
+    own = pages.withColumn("page", F.struct("council_id", "url"))
+    tree = nodes.node_table(own, "page", "content").persist()
+    boxes = selectors.one_container(tree, container, "page")
+    ok = ("ok", "several") if paged else ("ok",)
+    good = boxes.where(F.col("status").isin(*ok)).select("page", "pre", "end")
+    rows = selectors.inside(selectors.select(tree, row, "page"), good, "page").select("page", "pre", "end", "text_strip")
+    rows = selectors.field(rows, tree, link, F.col("attrs")["href"], "href", "page")
     for name, (css, value) in fields.items():
-        rows = selectors.field(rows, tree, css, value, name, "council_id")
-    rows = rows.join(pages.select(F.col("council_id").alias("k"), F.col("url").alias("page_url")), F.col("council_id") == F.col("k")).drop("k")
-    rows = rows.withColumn("url", links.absolute(F.col("page_url"), F.col("href"))).withColumnRenamed("pre", "pos").drop("end", "page_url")
-    return rows.withColumn("skip", people.skip_reason(skip or {})), boxes.where("status <> 'ok'").select("council_id", "status")
+        rows = selectors.field(rows, tree, css, value, name, "page")
+    pos = F.col("pre").cast("long")
+    if paged:
+        rows = rows.join(own.select(F.col("page").alias("of"), F.col("n").cast("long").alias("__n")), F.col("page") == F.col("of")).drop("of")
+        pos = pos + F.col("__n") * PAGE_NODES
+    rows = rows.withColumns({"url": links.absolute(F.col("page.url"), F.col("href")), "pos": pos, "council_id": F.col("page.council_id")}).drop("pre", "end", "page", "__n")
+    failures = boxes.where(~F.col("status").isin(*ok)).select("page.council_id", "status").distinct()
+    return rows.withColumn("skip", people.skip_reason(skip or {})), failures
+
+
+def with_next(pages: DataFrame, css: str, base: Column | None = None) -> DataFrame:
+    """``pages`` (council_id, url, content) with ``next_url``: the first link in the first element that ``css`` names,
+    resolved against ``base``, or the page's own address. Null where a page has none."""
+    own = pages.withColumn("page", F.struct("council_id", "url"))
+    tree = nodes.node_table(own, "page", "content")
+    box = selectors.select_one(tree, css, "page").select("page", "pre", "end")
+    found = selectors.field(box, tree, "a", F.col("attrs")["href"], "href", "page").select(F.col("page").alias("of"), "href")
+    own = own.join(found, F.col("page") == F.col("of"), "left").drop("of", "page")
+    return own.withColumn("next_url", links.absolute(F.col("url") if base is None else base, F.col("href"))).drop("href")
 
 
 def with_details(rows: DataFrame, details: DataFrame, fields: dict[str, tuple[str, Column]]) -> DataFrame:

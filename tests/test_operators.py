@@ -36,12 +36,42 @@ def texts(rows):
         ("ul > a", []),
         ("p", ["Ward:East", "Two"]),
         ("li li", []),
+        ("td + td", ["2"]),
+        ("a[href = '/id/1 x'], #t   td:nth-child( 2 )", ["2"]),
     ],
 )
 def test_select(tree, css, want):
     assert texts(selectors.select(tree, css, "k")) == want
 
 
+@pytest.mark.parametrize("css", ["td:nth-of-type(2)", "td:not(.q)", "td ~ td", "td[title='x y'", "ul >", "", "a,,b", "a:hover"])
+def test_selectors_that_are_not_supported(css):
+    with pytest.raises(ValueError):
+        selectors.parts(css)
+
+
+def test_nearest(spark):
+    page = "<div><h2>Ward</h2><p>East</p><ul><li>a<b>x</b><li>c</ul><p>West</p></div>"
+    tree = nodes.node_table(spark.createDataFrame([(1, page), (2, "<p>other")], "k int, html string"), "k", "html")
+    rows = tree.where("tag = 'li'").select("k", "pre", "parent")
+    p, label = F.col("tag") == "p", F.col("own_text").rlike("^W")
+    for axis, test, name in (("next", p, "next"), ("previous", p, "previous"), ("parent", F.col("tag") == "div", "above"), ("next_sibling", F.col("tag") == "li", "sibling"), ("previous_sibling", F.col("tag") == "li", "before"), ("previous", label, "label")):
+        rows = selectors.nearest(rows, tree, axis, test, F.col("own_text") if name != "above" else F.col("tag"), name, "k")
+    got = [tuple(r)[3:] for r in rows.orderBy("pre").collect()]
+    assert got == [("West", "East", "div", "c", None, "Ward"), ("West", "East", "div", None, "a", "Ward")]
+
+
+def test_paged_lists(spark):
+    page = '<ul><li><a href="p/{a}">A{a}</a><li><a href="p/{b}">A{b}</a></ul><div class="next"><a href="{next}">on</a></div>'
+    rows = [("X", "https://x.org/l1", page.format(a=1, b=2, next="l2")), ("X", "https://x.org/l2", page.format(a=3, b=4, next="l3")), ("Y", "https://x.org/l9", "<p>")]
+    pages = extract.with_next(spark.createDataFrame(rows, "council_id string, url string, content string"), ".next")
+    assert {r["url"][-2:]: r["next_url"] for r in pages.collect()} == {"l1": "https://x.org/l2", "l2": "https://x.org/l3", "l9": None}
+    first = spark.createDataFrame([("X", "https://x.org/l1"), ("Y", "https://x.org/l9")], "council_id string, url string")
+    got, failures = extract.list_pages(extract.linked_pages(pages, first), "ul", "li", {"name": ("a", F.col("text_strip"))}, paged=True)
+    assert [(r["council_id"], r["name"], r["url"]) for r in got.orderBy("pos").collect()] == [("X", f"A{i}", f"https://x.org/p/{i}") for i in (1, 2, 3, 4)]
+    assert [tuple(r) for r in failures.collect()] == [("Y", "none")]
+
+
 def test_select_one_and_intervals(tree):
     assert texts(selectors.select_one(tree, "td", "k")) == ["1"]
     rows = tree.collect()
@@ -64,11 +94,12 @@ def test_ward_listing(spark):
         "<termsofoffice></termsofoffice>",
         "<termsofoffice><termofoffice><enddate>unspecified</enddate></termofoffice></termsofoffice>",
         "<termsofoffice><termofoffice><enddate>01/01/2018</enddate></termofoffice><termofoffice><enddate>02/05/2019</enddate></termofoffice></termsofoffice>",
+        "<termsofoffice><termofoffice><enddate>01/05/2023</enddate></termofoffice><termofoffice><enddate>unspecified</enddate></termofoffice></termsofoffice>",
     ]
     xml = "<councillorsbyward><wards><ward><wardtitle>East</wardtitle><councillors>" + "".join(person(i, e) for i, e in enumerate(ends)) + "</councillors></ward></wards></councillorsbyward>"
     rows = extract.ward_listing(spark.createDataFrame([("ABC", "https://x.org/", xml)], "council_id string, base_url string, content string"))
     got = {r["identifier"]: r for r in rows.collect()}
-    assert [got[str(i)]["standing_down"] for i in range(4)] == [None, None, None, "2019-05-02T00:00:00"]
+    assert [got[str(i)]["standing_down"] for i in range(5)] == [None, None, None, "2019-05-02T00:00:00", None]
     assert got["1"]["url"] == "https://x.org/mgUserInfo.aspx?UID=1" and got["1"]["email"] is None and got["1"]["division"] == "East"
 
 
