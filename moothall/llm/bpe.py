@@ -8,7 +8,8 @@ Words of up to ``SHORT`` bytes take one contraction a round. Longer ones (long r
 occurrences of the minimum pair in a round, from the left, up to the first one that makes a pair of a smaller rank;
 that gives what one contraction after another gives, in far fewer rounds.
 
-Defined results: null text encodes as the empty text, the empty text has no ids, null ids decode to no bytes. Texts
+Defined results: null text encodes as the empty text, the empty text has no ids, null ids decode to no bytes, and
+what isn't a list of known ids decodes to null. Texts
 are worked through in pieces of ``CHARS`` characters or ``WORDS`` words, so that memory doesn't grow with a text.
 """
 
@@ -77,7 +78,7 @@ SELECT w, pos, tok FROM t WHERE done ORDER BY w, pos
 """
 
 _DECODE = """
-SELECT string_agg(piece, '') FROM (SELECT piece FROM rows JOIN vocab USING (tok) ORDER BY pos)
+SELECT string_agg(piece, '' ORDER BY pos) FROM rows JOIN vocab USING (tok)
 """
 
 
@@ -182,8 +183,15 @@ class Codec:
         flush()
         return out
 
+    def known(self, ids: bytes) -> bool:
+        """Whether these are ids of the vocabulary."""
+        if len(ids) % 4:
+            return False
+        tok = np.frombuffer(ids, "<u4")
+        return not len(tok) or bool(tok.max() < len(self.length) and self.length[tok].all())
+
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        """The bytes of each list of ids."""
+        """The bytes of each list of ids, all of them known."""
         import pyarrow as pa
 
         tok = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
@@ -191,7 +199,6 @@ class Codec:
         for i in range(0, len(tok), TOKENS):
             t = tok[i : i + TOKENS]
             self.register("rows", pa.table({"pos": np.arange(len(t), dtype=np.int32), "tok": t}))
-            # one thread and one group: the pieces are put together in the order of the subquery
             text.append(self.con.sql(_DECODE).fetchall()[0][0].encode("latin-1"))
         whole = b"".join(text)
         ends = np.cumsum(np.append(0, self.length[tok]))[np.cumsum([0] + [len(x) // 4 for x in ids])]
@@ -260,6 +267,8 @@ def decode(ids: Column, vocabulary: str, pattern: str) -> Column:
         codec = _codec(ranks_file, pattern)
         for ids in batches:
             values = [b"" if x is None else bytes(x) for x in ids]
-            yield pd.Series([b for part in _pieces(values, 4 * TOKENS) for b in codec.decode(part)], dtype=object)
+            good = [codec.known(x) for x in values]
+            plain = (b for part in _pieces([x for x, ok in zip(values, good) if ok], 4 * TOKENS) for b in codec.decode(part))
+            yield pd.Series([next(plain) if ok else None for ok in good], dtype=object)
 
     return plain(ids)

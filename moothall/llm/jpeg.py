@@ -168,6 +168,8 @@ def parse(data: bytes) -> list[Image]:
         at += 2
         quantisers, huffman, size, interval = {}, {}, None, 0
         while True:
+            while data[at : at + 2] == b"\xff\xff":  # fill bytes
+                at += 1
             if at + 4 > len(data) or data[at] != 255:
                 raise ValueError("no marker")
             marker, n = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
@@ -206,6 +208,9 @@ def parse(data: bytes) -> list[Image]:
         if k == len(stops) or data[stops[k] + 1] != 0xD9:
             raise ValueError("no end of image")
         end = int(stops[k])
+        wide, high = (8 * max(f[i] for f in factors) for i in (0, 1))
+        if 4 * (end - at) < -(-size[0] // wide) * -(-size[1] // high) * len(blocks):
+            raise ValueError("fewer than two bits a block")
         images.append(Image(size[0], size[1], factors, quantisers[parts[0][2]], interval, blocks, (at, end)))
         at = end + 2
     if not images:

@@ -7,12 +7,12 @@ explicit coordinates, on which one kernel ridge regression for each language is
 scored in batches: presence matrix times landmark matrix, then times weights.
 
 N-grams are numbered by a fixed rule: letters below U+0180 by code point and others by a hash into 128 classes, pairs
-and triples by a hash into 65,536 bins each. The landmark matrix thus has ``FEATURES`` x ``landmarks`` bytes at most,
-which bounds what is sent to the executors, whatever the corpus. Equally the features of a training text are at most
+and triples by a hash into 65,536 bins each. The landmark matrix thus has ``FEATURES`` x ``landmarks`` bytes for each language at
+most, which bounds what is sent to the executors, whatever the corpus. Equally the features of a training text are at most
 ``FEATURES`` integers.
 
-Fitting reads a bounded sample: the ``per_language`` training rows of each language with the smallest hashes of their
-texts, whole. Prediction reads whole texts, and nothing but texts.
+Fitting reads a bounded sample: the ``per_language`` different training texts of each language with the smallest hashes,
+whole. Prediction reads whole texts, and nothing but texts.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; a training set without rows predicts
 ``und`` for all; equal texts get equal predictions; ties go to the language that sorts first.
@@ -28,7 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PER_LANGUAGE, LANDMARKS, RIDGE = 300, 96, 0.1
+#: Texts that are learned from and landmarks, both for each language, and the ridge.
+PER_LANGUAGE, LANDMARKS, RIDGE = 300, 24, 0.1
 LETTERS, BINS = 512, 65536
 FEATURES = LETTERS + 2 * BINS
 #: Texts of a matrix product.
@@ -102,15 +103,14 @@ class Model:
 
 
 def fit(rows: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
-    """Kernel ridge regression on Nyström coordinates; landmarks are dealt to the languages in turn."""
+    """Kernel ridge regression on Nyström coordinates; the first ``landmarks`` rows of each language are landmarks."""
     kept = [(x, y) for x, y in zip(rows, labels) if len(x)]
     if not kept:
         return None
     rows, labels = [x for x, _ in kept], [y for _, y in kept]
     languages = sorted(set(labels))
     queues = [[i for i, y in enumerate(labels) if y == lang] for lang in languages]
-    turns = [q[k] for k in range(max(map(len, queues))) for q in queues if k < len(q)]
-    chosen = [rows[i] for i in turns[:landmarks]]
+    chosen = [rows[q[k]] for k in range(landmarks) for q in queues if k < len(q)]
     columns = np.unique(np.concatenate(chosen))
     matrix = np.zeros((len(columns), len(chosen)), np.uint8)
     for k, x in enumerate(chosen):
@@ -128,33 +128,37 @@ def fit(rows: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, r
     return model
 
 
-def featured(text: Column) -> Column:
-    """A text's features as an array column."""
+def packed(text: Column) -> Column:
+    """A text's features as binary, four bytes each."""
 
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         seen = np.zeros(FEATURES, bool)
         for texts in batches:
-            yield pd.Series([features(x, seen) for x in texts.fillna("")], dtype=object)
+            yield pd.Series([features(x, seen).tobytes() for x in texts.fillna("")], dtype=object)
 
-    return F.pandas_udf(found, "array<int>")(text)
+    return F.pandas_udf(found, "binary")(text)
 
 
 def train(
     docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, text: str = "text", label: str = "lang"
 ) -> Model | None:
-    """Fit on at most ``per_language`` rows of each language in ``docs``; rows without text or label are left out."""
+    """Fit on at most ``per_language`` different texts of each language in ``docs``, those with the least hashes, however
+    often each occurs; rows without text or label are left out."""
     rows = docs.select(F.col(text).alias("text"), F.col(label).alias("label")).where("text IS NOT NULL AND label IS NOT NULL")
     rows = rows.withColumn("order", F.xxhash64("text"))
-    # a first cut by hash leaves a few times as many rows as are wanted, so that the ranking below stays small
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    keys = rows.select("label", "order").distinct()
+    # a first cut by hash leaves a few times as many texts as are wanted, so that the ranking below stays small
+    counts = {r["label"]: r["count"] for r in keys.groupBy("label").count().collect()}
     if not counts:
         return None
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 3 * per_language / n)))])
-    rows = rows.where(F.pmod("order", F.lit(1_000_003)) < share[F.col("label")] * 1_000_003)
-    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("order", "text")))
-    sample = ranked.where(F.col("n") <= per_language).select("label", "order", featured(F.col("text")).alias("x"))
-    got = sorted(sample.collect(), key=lambda r: (r["label"], r["order"]))
-    return fit([np.array(r["x"], np.int32) for r in got], [r["label"] for r in got], landmarks)
+    keys = keys.where(F.pmod("order", F.lit(1_000_003)) < share[F.col("label")] * 1_000_003)
+    ranked = keys.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("order")))
+    chosen = ranked.where(F.col("n") <= per_language).select("label", "order")
+    sample = rows.join(F.broadcast(chosen), ["label", "order"]).groupBy("label", "order").agg(F.min("text").alias("text"))
+    got = sample.select("label", "order", packed(F.col("text")).alias("x")).collect()
+    got = sorted(got, key=lambda r: (r["label"], r["order"]))
+    return fit([np.frombuffer(r["x"], np.int32) for r in got], [r["label"] for r in got], landmarks)
 
 
 def predict(text: Column, model: Model | None) -> Column:

@@ -8,8 +8,9 @@ rows share is neither gathered nor scanned twice.
 All of it is DataFrame functions. Spark has no function for the places of matches: a text's gaps between matches and the
 matches themselves give lengths in code points, and a running sum over a blob's lengths gives the places.
 
-Defined results: null text is the empty blob, without findings; every row of the input comes back once; places are code
-points from 0, ends exclusive. Rows of kinds that a rule set lists later sort after earlier kinds at the same start.
+Defined results: null text is the empty blob, without findings; every row of the input comes back once, with its own
+columns whatever their names; places are code points from 0, ends exclusive; a very long text is scanned whole in one row,
+and its matches become rows of their own. Rows of kinds that a rule set lists later sort after earlier kinds at the same start.
 """
 
 from __future__ import annotations
@@ -52,9 +53,10 @@ RULES = (
 
 
 def versions(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a row number and each text's address."""
+    """(row, blob, text, doc) of ``docs``: a row number, the text and its address, and all other columns of the row."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({"row": F.monotonically_increasing_id(), "blob": F.sha2(whole, 256)})
+    doc = F.struct(*[F.col(c) for c in docs.columns if c != text] or [F.lit(0).alias("none")]).alias("doc")
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.sha2(whole, 256).alias("blob"), F.col(text).alias("text"), doc)
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -114,9 +116,12 @@ def extend(docs: DataFrame, ledger: DataFrame | None = None, version: int = VERS
     return new if ledger is None else ledger.unionByName(new)
 
 
-def findings_by_path(docs: DataFrame, ledger: DataFrame | None = None, version: int = VERSION) -> DataFrame:
-    """``docs`` with ``findings``: what the ledger or a scan of unseen blobs has for each row's text; null if nothing."""
-    found = scan_unseen(docs, ledger, version=version).select("blob", "findings")
+def findings_by_path(
+    docs: DataFrame, ledger: DataFrame | None = None, version: int = VERSION, rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """(row, blob, text, doc, findings): what the ledger or a scan of unseen blobs has for each row's text; null if
+    nothing. ``doc`` has the other columns of ``docs``, whatever their names."""
+    found = scan_unseen(docs, ledger, rules, version).select("blob", "findings")
     if ledger is not None:
         found = found.unionByName(ledger.where(F.col("rule_version") == version).select("blob", "findings"))
     return versions(docs).join(found, "blob", "left")
@@ -129,7 +134,7 @@ def _listed(findings: Column) -> Column:
 
 def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row for each document: counts of the base kinds, a digest of their spans, and all spans."""
-    found = findings_by_path(docs.select("doc_id", "text"))
+    found = findings_by_path(docs.select("doc_id", "text"), rules=rules)
     n_base = sum(r.base for r in rules)
     base = F.filter("findings", lambda x: x["rule"] < n_base)
 
@@ -138,7 +143,7 @@ def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
         return F.when(F.col("findings").isNull(), 0).otherwise(F.size(of_kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
-        "doc_id",
+        "doc.doc_id",
         *[count(r.kind) for r in rules if r.base],
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(F.col("findings")).alias("spans"),
@@ -163,8 +168,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     begin = F.concat(F.array(F.lit(0)), F.col("__merged.end"))
     end = F.concat(F.col("__merged.start"), F.array(F.char_length("text")))
     pieces = F.zip_with(begin, end, lambda a, b: F.substring(F.col("text"), a + 1, b - a))
-    text = F.when(F.col("findings").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))
-    return found.withColumn("text", text).select(*own)
+    text = F.when(F.col("findings").isNull(), F.col("text")).otherwise(F.array_join(pieces, mark)).alias("text")
+    return found.select(*[text if c == "text" else F.col("doc").getField(c).alias(c) for c in own])
 
 
 def _oracle() -> str:
