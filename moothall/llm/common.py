@@ -63,12 +63,16 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df``, put aside first if its rows come from an exchange.
+    """``df``, put aside first unless it is read from files, with columns and rows chosen at most.
 
     Operators number rows by partition and place, in several branches of a plan. Files give the same numbers each time;
-    rows from an exchange may not, as columns that a branch doesn't need are left out before it."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return cut(df) if "Exchange" in plan else df
+    rows from an exchange or a limit may not, as columns that a branch doesn't need are left out before it."""
+    return df if set(_kinds(df._jdf.queryExecution().optimizedPlan())) <= {"Project", "Filter", "LogicalRelation"} else cut(df)
+
+
+def _kinds(plan) -> list[str]:
+    below = plan.children()
+    return [plan.nodeName(), *(k for i in range(below.size()) for k in _kinds(below.apply(i)))]
 
 
 def once(df: DataFrame, **cols: Column) -> DataFrame:
