@@ -39,6 +39,18 @@ def current(start: Column, end: Column, as_of: Column) -> Column:
     return F.coalesce(end >= as_of, F.lit(True)) & F.coalesce(start <= as_of, F.lit(True))
 
 
+def compact(*fields: Column | str) -> Column:
+    """The JSON text of a record, without its null fields."""
+    return F.to_json(F.struct(*fields))
+
+
+def overlaid(base: Column, top: Column) -> Column:
+    """One map over another: the upper one's values win; a null map has no entries."""
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    base, top = F.coalesce(base, none), F.coalesce(top, none)
+    return F.map_concat(F.map_filter(base, lambda k, _: ~F.array_contains(F.map_keys(top), k)), top)
+
+
 def same_system(a: Column, b: Column) -> Column:
     """Equal but for case; an unset system agrees with all."""
     return F.coalesce(F.lower(a) == F.lower(b), F.lit(True))

@@ -57,6 +57,18 @@ def validated(councils: DataFrame, facts: DataFrame) -> DataFrame:
     return both.select("council_id", read.alias("valid"), warnings.alias("warnings"), errors.alias("errors"), suggestions.alias("suggestions"))
 
 
+#: What every extractor's class must state.
+CONTRACT = ("service_name", "scraper_object_type")
+
+
+def failed(classes: DataFrame, tests: dict[str, Column] | None = None) -> DataFrame:
+    """(council_id, failed): the names of the tests that each class doesn't pass, in order. ``tests`` are Columns over
+    ``classes``; a null counts as not passed. Without them, the contract: service name and object type are stated."""
+    if tests is None:
+        tests = {n: F.coalesce(n, F.lit("")) != "" for n in CONTRACT}
+    return classes.select("council_id", said(**{n: (~F.coalesce(t, F.lit(False)), n) for n, t in tests.items()}).alias("failed"))
+
+
 def totals(reports: DataFrame) -> DataFrame:
     return reports.agg(
         F.count("*").alias("total"),

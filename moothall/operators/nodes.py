@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -123,6 +123,12 @@ def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series(out, dtype=object)
 
 
+def parsed(html: Column) -> Column:
+    """The elements of a page as an array, in document order; fields as in ``node_table``. Null or empty pages have none.
+    Not deterministic to the optimizer, which would otherwise parse a page again for each filter on what was found."""
+    return F.pandas_udf(_parsed, NODE).asNondeterministic()(html)
+
+
 def node_table(pages: DataFrame, key: str, html: str) -> DataFrame:
     """``key`` and the columns of every element of every page. Columns: pre, end, parent, depth, sib_index (from 1),
     sib_count, tag, id, classes, attrs, own_text, text_strip (all texts below, stripped and joined), text_after (the

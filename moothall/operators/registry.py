@@ -19,6 +19,13 @@ def listed(rows: DataFrame, ids: str, key: str = "council_id") -> DataFrame:
     return rows.where(F.col(key).isin(wanted))
 
 
+def local_authorities(councils: DataFrame, ident: str | None = None) -> DataFrame:
+    """Councils that are local authorities; with ``ident``, the one of that official identifier."""
+    own = F.col("organisation")
+    kept = councils.where(own["organisation_type"] == "local-authority")
+    return kept if ident is None else kept.where(own["official_identifier"] == ident)
+
+
 def missing(councils: DataFrame, registry: DataFrame) -> DataFrame:
     """Councils without an extractor."""
     return councils.join(registry.select("council_id"), "council_id", "left_anti")

@@ -1,14 +1,16 @@
-"""CSS selectors over node tables.
+"""CSS selectors over pages' arrays of nodes and over node tables.
 
 The subset that rosters use: tags, classes, ids, attributes (``=``, ``^=``, ``*=``, ``$=``), ``:first-child``,
 ``:last-child``, ``:nth-child(n)``, descendants, children, next siblings (``+``) and comma lists; anything else is a
 ValueError. A simple selector is a predicate on one node; a combinator is a semi join of the nodes with their ancestors,
-parents or siblings on the same page.
+parents or siblings on the same page. Over an array (``matched``, ``closest``) the page is parsed once for all selectors
+and nothing is shuffled; node tables are for what goes on to other tables.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,28 +40,77 @@ def parts(css: str) -> list[list[tuple[str, str]]]:
     return [*paths, steps]
 
 
-def predicate(simple: str) -> Column:
-    """Whether a node is what a simple selector says."""
+def predicate(simple: str, get: Callable[[str], Column] = F.col) -> Column:
+    """Whether a node is what a simple selector says; ``get`` gives a node's fields, a node table's columns by default."""
     tests = [F.lit(True)]
     for m in _PART.finditer(simple):
         cls, ident, attr, op, value, edge, nth, tag = m.groups()
         value = (value or "").strip("\"'")
         if tag and tag != "*":
-            tests.append(F.col("tag") == tag.lower())
+            tests.append(get("tag") == tag.lower())
         elif cls:
-            tests.append(F.array_contains("classes", cls))
+            tests.append(F.array_contains(get("classes"), cls))
         elif ident:
-            tests.append(F.col("id") == ident)
+            tests.append(get("id") == ident)
         elif edge:
-            tests.append(F.col("sib_index") == (F.lit(1) if edge == "first" else F.col("sib_count")))
+            tests.append(get("sib_index") == (F.lit(1) if edge == "first" else get("sib_count")))
         elif nth:
-            tests.append(F.col("sib_index") == int(nth))
+            tests.append(get("sib_index") == int(nth))
         elif attr:
-            own = F.col("attrs")[attr]
+            own = get("attrs")[attr]
             tests.append({None: own.isNotNull(), "=": own == value, "^=": own.startswith(value), "*=": own.contains(value), "$=": own.endswith(value)}[op])
     return F.coalesce(reduce(lambda a, b: a & b, tests), F.lit(False))
 
 
+def below(n: Column, o: Column) -> Column:
+    """Whether node ``n`` is below ``o``."""
+    return (n["pre"] > o["pre"]) & (n["pre"] <= o["end"])
+
+
+#: How a node stands to one of the step before, by combinator.
+_STANDS = {
+    "": below,
+    ">": lambda n, o: n["parent"] == o["pre"],
+    "+": lambda n, o: n["parent"].eqNullSafe(o["parent"]) & (n["sib_index"] == o["sib_index"] + 1),
+}
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, not again for each element that ``use`` goes through."""
+    return F.transform(F.array(value), use)[0]
+
+
+def matched(tree: Column, css: str) -> Column:
+    """The nodes of a page's array (``nodes.parsed``) that a selector names, in document order, each once."""
+
+    def named(all_nodes: Column, simple: str) -> Column:
+        return F.filter(all_nodes, lambda n: predicate(simple, n.getField))
+
+    def further(all_nodes: Column, level: Column, sign: str, simple: str) -> Column:
+        return bound(level, lambda lv: F.filter(named(all_nodes, simple), lambda n: F.exists(lv, lambda o: _STANDS[sign](n, o))))
+
+    def path(all_nodes: Column, steps: list[tuple[str, str]]) -> Column:
+        return reduce(lambda level, step: further(all_nodes, level, *step), steps[1:], named(all_nodes, steps[0][1]))
+
+    paths = parts(css)
+    if len(paths) == 1:
+        return bound(tree, lambda t: path(t, paths[0]))
+    places = lambda t: F.concat(*[F.transform(path(t, steps), lambda n: n["pre"]) for steps in paths])
+    return bound(tree, lambda t: bound(places(t), lambda at: F.filter(t, lambda n: F.array_contains(at, n["pre"]))))
+
+
+def first_below(found: Column, outer: Column) -> Column:
+    """The first of some nodes that is below a node; null without one."""
+    return F.get(F.filter(found, lambda n: below(n, outer)), F.lit(0))
+
+
+def valued(rows: DataFrame, node: str, value: Column, name: str) -> DataFrame:
+    """``rows`` with ``name`` in place of ``node``, a column that has a node: ``value``, a Column of node fields; null
+    where there is no node."""
+    own = rows.select(F.struct(*[F.col(c) for c in rows.columns if c != node]).alias("__row"), f"{node}.*")
+    return own.select("__row.*", F.when(F.col("pre").isNotNull(), value).alias(name))
+
+
 def inside(nodes: DataFrame, outer: DataFrame, key: str, child: bool = False) -> DataFrame:
     """The nodes below (with ``child``: directly below) any of ``outer``; both have ``key``, pre and end."""
     o = outer.select(F.col(key).alias("__k"), F.col("pre").alias("__pre"), F.col("end").alias("__end"))
@@ -128,6 +179,21 @@ AXES = {
 }
 
 
+_SEEN = {
+    "next": lambda n, o: n["pre"] > o["pre"],
+    "previous": lambda n, o: n["pre"] < o["pre"],
+    "parent": lambda n, o: below(o, n),
+    "next_sibling": lambda n, o: n["parent"].eqNullSafe(o["parent"]) & (n["pre"] > o["pre"]),
+    "previous_sibling": lambda n, o: n["parent"].eqNullSafe(o["parent"]) & (n["pre"] < o["pre"]),
+}
+
+
+def closest(tree: Column, node: Column, axis: str, test: Callable[[Column], Column]) -> Column:
+    """The nearest node of a page's array on an axis of ``node`` that passes ``test``; null without one."""
+    found = F.filter(tree, lambda n: _SEEN[axis](n, node) & F.coalesce(test(n), F.lit(False)))
+    return F.try_element_at(found, F.lit(1 if AXES[axis][1] else -1))
+
+
 def nearest(rows: DataFrame, nodes: DataFrame, axis: str, test: Column, value: Column, name: str, key: str) -> DataFrame:
     """``rows`` (nodes with key, pre and parent) with ``name``: ``value`` of the nearest node on an axis that passes
     ``test``, a condition on nodes, such as one on their tag or text; null where none does."""

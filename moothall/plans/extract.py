@@ -43,9 +43,12 @@ def ward_listing(payloads: DataFrame, skip: dict[str, Column] | None = None) ->
     return rows.withColumn("skip", people.skip_reason(skip or {}))
 
 
-def person_blocks(pages: DataFrame, details: DataFrame | None = None, division_label: str = "Ward:", block: str = "PE_People_PersonBlock") -> DataFrame:
+def person_blocks(
+    pages: DataFrame, details: DataFrame | None = None, division_label: str = "Ward:", block: str = "PE_People_PersonBlock", party: tuple[str, Column] | None = None
+) -> DataFrame:
     """Office-holders from list pages of person blocks: link, name, the text after the ward's label, and the title of the
-    last picture as party. Columns of ``pages``: council_id, content. ``details`` (url, content) adds e-mails."""
+    last picture as party. Columns of ``pages``: council_id, content. ``details`` (url, content) adds e-mails. A site that names
+    parties otherwise gives ``party``: a selector and a Column of the node."""
     tree = nodes.node_table(pages, "council_id", "content").persist()
     rows = selectors.select(tree, f"div.{block}", "council_id").select("council_id", "pre", "end")
     rows = selectors.field(rows, tree, "a", F.col("attrs")["href"], "url", "council_id")
@@ -66,7 +69,9 @@ def person_blocks(pages: DataFrame, details: DataFrame | None = None, division_l
     images = tree.where(F.col("tag") == "img").select(F.col("council_id").alias("ik"), F.col("pre").alias("ipre"), F.col("attrs")["title"].alias("title"))
     parties = own.join(images, (F.col("rk") == F.col("ik")) & (F.col("ipre") > F.col("rpre")) & (F.col("ipre") <= F.col("rend")))
     parties = parties.groupBy("rk", "rpre").agg(F.max_by("title", "ipre").alias("title"))
-    rows = rows.join(parties, (F.col("council_id") == F.col("rk")) & (F.col("pre") == F.col("rpre")), "left")
+    rows = rows.join(parties, (F.col("council_id") == F.col("rk")) & (F.col("pre") == F.col("rpre")), "left").drop("rk", "rpre")
+    if party is not None:
+        rows = selectors.field(rows.drop("title"), tree, party[0], party[1], "title", "council_id")
     rows = rows.select(
         "council_id",
         F.col("pre").alias("pos"),
@@ -93,33 +98,32 @@ def list_pages(
 
     With ``paged`` a council has several pages, numbered by a column ``n`` from 0 (``linked_pages`` gives them); rows go
     on from page to page, and of several containers of a page the first one counts."""
-    own = pages.withColumn("page", F.struct("council_id", "url"))
-    tree = nodes.node_table(own, "page", "content").persist()
-    boxes = selectors.one_container(tree, container, "page")
-    ok = ("ok", "several") if paged else ("ok",)
-    good = boxes.where(F.col("status").isin(*ok)).select("page", "pre", "end")
-    rows = selectors.inside(selectors.select(tree, row, "page"), good, "page").select("page", "pre", "end", "text_strip")
-    rows = selectors.field(rows, tree, link, F.col("attrs")["href"], "href", "page")
-    for name, (css, value) in fields.items():
-        rows = selectors.field(rows, tree, css, value, name, "page")
-    pos = F.col("pre").cast("long")
-    if paged:
-        rows = rows.join(own.select(F.col("page").alias("of"), F.col("n").cast("long").alias("__n")), F.col("page") == F.col("of")).drop("of")
-        pos = pos + F.col("__n") * PAGE_NODES
-    rows = rows.withColumns({"url": links.absolute(F.col("page.url"), F.col("href")), "pos": pos, "council_id": F.col("page.council_id")}).drop("pre", "end", "page", "__n")
-    failures = boxes.where(~F.col("status").isin(*ok)).select("page.council_id", "status").distinct()
-    return rows.withColumn("skip", people.skip_reason(skip or {})), failures
+    tree, ok = F.col("tree"), ("ok", "several") if paged else ("ok",)
+    css = {"__link": link} | {f"__f_{n}": c for n, (c, _) in fields.items()}
+    own = pages.select("council_id", "url", (F.col("n").cast("long") if paged else F.lit(0)).alias("n"), nodes.parsed(F.col("content")).alias("tree"))
+    found = own.where(F.size("tree") > 0).select("council_id", "url", "n", selectors.matched(tree, container).alias("boxes"), selectors.matched(tree, row).alias("rows"), *[selectors.matched(tree, c).alias(k) for k, c in css.items()])
+    found = found.withColumn("status", F.when(F.size("boxes") == 0, "none").when(F.size("boxes") > 1, "several").otherwise("ok"))
+    failures = found.where(~F.col("status").isin(*ok)).select("council_id", "status").distinct()
+    each = F.transform(
+        F.filter("rows", lambda r: selectors.below(r, F.get("boxes", F.lit(0)))),
+        lambda r: F.struct(r["pre"].alias("__pre"), r["text_strip"].alias("text_strip"), *[selectors.first_below(F.col(k), r).alias(k) for k in css]),
+    )
+    rows = found.where(F.col("status").isin(*ok)).select("council_id", F.col("url").alias("__page"), F.col("n").alias("__n"), F.inline(each))
+    rows = selectors.valued(rows, "__link", F.col("attrs")["href"], "href")
+    for name, (_, value) in fields.items():
+        rows = selectors.valued(rows, f"__f_{name}", value, name)
+    rows = rows.withColumns({"url": links.absolute(F.col("__page"), F.col("href")), "pos": F.col("__pre") + F.col("__n") * PAGE_NODES})
+    return rows.drop("__pre", "__page", "__n").withColumn("skip", people.skip_reason(skip or {})), failures
 
 
 def with_next(pages: DataFrame, css: str, base: Column | None = None) -> DataFrame:
     """``pages`` (council_id, url, content) with ``next_url``: the first link in the first element that ``css`` names,
     resolved against ``base``, or the page's own address. Null where a page has none."""
-    own = pages.withColumn("page", F.struct("council_id", "url"))
-    tree = nodes.node_table(own, "page", "content")
-    box = selectors.select_one(tree, css, "page").select("page", "pre", "end")
-    found = selectors.field(box, tree, "a", F.col("attrs")["href"], "href", "page").select(F.col("page").alias("of"), "href")
-    own = own.join(found, F.col("page") == F.col("of"), "left").drop("of", "page")
-    return own.withColumn("next_url", links.absolute(F.col("url") if base is None else base, F.col("href"))).drop("href")
+    tree = F.col("__tree")
+    own = pages.withColumn("__tree", nodes.parsed(F.col("content")))
+    href = selectors.first_below(selectors.matched(tree, "a"), F.get(selectors.matched(tree, css), F.lit(0)))["attrs"]["href"]
+    own = own.withColumn("__href", href).drop("__tree")
+    return own.withColumn("next_url", links.absolute(F.col("url") if base is None else base, F.col("__href"))).drop("__href")
 
 
 def with_details(rows: DataFrame, details: DataFrame, fields: dict[str, tuple[str, Column]]) -> DataFrame:
@@ -185,6 +189,11 @@ def faces(documents: DataFrame) -> DataFrame:
     )
 
 
+def photo_size(url: Column, small: str = "120x150", large: str = "240x300") -> Column:
+    """A thumbnail's address as that of the larger picture."""
+    return F.replace(url, F.lit(small), F.lit(large))
+
+
 def photo_links(rows: DataFrame, denied: tuple[str, ...] = ("logo", "icon", "badge", "avatar"), suffixes: tuple[str, ...] = (".gif", ".svg")) -> DataFrame:
     """Rows with a picture that may be a portrait: a web address without a denied word or suffix."""
     url = F.col("photo_url")

@@ -178,12 +178,12 @@ def current_entities(spark: SparkSession, d: str) -> DataFrame:
     return rows.where(values.current(F.to_date("l_shipdate"), end, F.lit("1996-06-01").cast("date"))).select("l_orderkey", "l_linenumber")
 
 
-@query("SELECT c_custkey AS council_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey AS council_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
 def missing_entities(spark: SparkSession, d: str) -> DataFrame:
     return registry.missing(_customers(spark, d), _order_owners(spark, d))
 
 
-@query("SELECT c_custkey AS council_id FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey AS council_id FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
 def active_entities(spark: SparkSession, d: str) -> DataFrame:
     return registry.known(_customers(spark, d), _order_owners(spark, d))
 
@@ -193,7 +193,7 @@ def _customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _order_owners(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").select(F.col("o_custkey").alias("council_id"))
+    return table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("council_id"))
 
 
 @query("SELECT n_nationkey, n_name FROM nation WHERE upper(n_name) IN ('NATION_3', 'NATION_7', 'FRANCE', 'GERMANY')")
@@ -392,8 +392,16 @@ def _nations(spark: SparkSession, d: str, least: float | None = None) -> tuple[D
     return table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation")), c.select(F.col("c_nationkey").alias("nation"))
 
 
-def _page_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return nodes.node_table(table(spark, d, "pages"), "page_id", "html")
+def _trees(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", "url", nodes.parsed(F.col("html")).alias("tree"))
+
+
+def _named(css: str) -> Column:
+    return selectors.matched(F.col("tree"), css)
+
+
+def _first(css: str) -> Column:
+    return F.explode(F.slice(_named(css), 1, 1)).alias("n")
 
 
 _UNESCAPED = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
@@ -401,46 +409,76 @@ _UNESCAPED = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '
 
 @query(f"SELECT page_id, trim({_UNESCAPED.format(x='regexp_extract(html, $re$<title>(.*?)</title>$re$, 1, $o$s$o$)')}) AS title FROM pages")
 def page_titles(spark: SparkSession, d: str) -> DataFrame:
-    return selectors.select_one(_page_nodes(spark, d), "head > title", "page_id").select("page_id", F.col("text_strip").alias("title"))
+    return _trees(spark, d).select("page_id", _first("head > title")).select("page_id", F.col("n.text_strip").alias("title"))
 
 
 @query(f"SELECT page_id, {_UNESCAPED.format(x='unnest(regexp_extract_all(html, $re$<a href=\"([^\"]*)\"$re$, 1))')} AS href FROM pages")
 def page_links(spark: SparkSession, d: str) -> DataFrame:
-    return selectors.select(_page_nodes(spark, d), "nav ul li > a[href]", "page_id").select("page_id", F.col("attrs")["href"].alias("href"))
+    return _link_nodes(spark, d).select("page_id", "href")
+
+
+def _link_nodes(spark: SparkSession, d: str) -> DataFrame:
+    found = _trees(spark, d).select("page_id", "url", F.explode(_named("nav ul li > a[href]")).alias("n"))
+    return found.select("page_id", F.col("url").alias("base"), F.col("n.attrs")["href"].alias("href"))
 
 
 @query(f"SELECT page_id, regexp_extract(url, '^https?://[^/]+', 0) || {_UNESCAPED.format(x='unnest(regexp_extract_all(html, $re$<a href=\"([^\"]*)\"$re$, 1))')} AS url FROM pages")
 def page_link_urls(spark: SparkSession, d: str) -> DataFrame:
-    found = page_links(spark, d)
-    pages = table(spark, d, "pages").select(F.col("page_id").alias("k"), F.col("url").alias("base"))
-    joined = found.join(pages, F.col("page_id") == F.col("k"))
-    return joined.select("page_id", links.absolute(F.col("base"), F.col("href")).alias("url"))
+    return _link_nodes(spark, d).select("page_id", links.absolute(F.col("base"), F.col("href")).alias("url"))
+
+
+_ARTICLE_SQL = "regexp_extract(html, $re$<article>(.*)</article>$re$, 1, $o$s$o$)"
 
 
-@query()
+@query(
+    f"""SELECT page_id, length(t) AS n_chars, sha256(t) AS sha256, 2 AS depth, (1 + len(regexp_extract_all(split_part(html, '<article>', 1), '<(nav|div|section|header)[ >]')))::INT AS sib_index
+    FROM (SELECT page_id, html, array_to_string([trim({_UNESCAPED.format(x="x")}) FOR x IN string_split_regex({_ARTICLE_SQL}, '<[^>]*>')], '') AS t FROM pages)"""
+)
 def page_article_text(spark: SparkSession, d: str) -> DataFrame:
-    found = selectors.select_one(_page_nodes(spark, d), "article", "page_id")
-    return found.select("page_id", F.char_length("text_strip").alias("n_chars"), F.sha2("text_strip", 256).alias("sha256"), "depth", "sib_index")
+    found = _trees(spark, d).select("page_id", _first("article"))
+    return found.select("page_id", F.char_length("n.text_strip").alias("n_chars"), F.sha2("n.text_strip", 256).alias("sha256"), "n.depth", "n.sib_index")
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '<li>')) AS n_items, regexp_extract(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li></ul>', 1) AS last_item FROM pages")
 def page_last_items(spark: SparkSession, d: str) -> DataFrame:
-    tree = _page_nodes(spark, d)
-    n = selectors.select(tree, "nav li", "page_id").groupBy("page_id").agg(F.count("*").alias("n_items"))
-    last = selectors.select_one(tree, "nav li:last-child a", "page_id").select(F.col("page_id").alias("k"), F.col("text_strip").alias("last_item"))
-    return n.join(last, F.col("page_id") == F.col("k")).select("page_id", "n_items", "last_item")
+    found = _trees(spark, d).select("page_id", F.size(_named("nav li")).alias("n_items"), _first("nav li:last-child a"))
+    return found.select("page_id", "n_items", F.col("n.text_strip").alias("last_item"))
 
 
-@query()
+@query(
+    f"""SELECT page_id, {_UNESCAPED.format(x="regexp_extract(html, $re$<a href=.([^>]*).>[^<]*</a></li></ul>$re$, 1)")} AS last_link, regexp_extract(html, '</article><([a-z]+)', 1) AS after,
+    trim({_UNESCAPED.format(x="regexp_extract(html, $re$<h1>(.*?)</h1>$re$, 1)")}) AS heading, 'body' AS above FROM pages"""
+)
+def page_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """What stands next to a page's article: the last link before it, the first heading after its start, its sibling, and
+    what holds it."""
+    found = _trees(spark, d).select("page_id", "tree", _first("article"))
+    near = lambda axis, test: selectors.closest(F.col("tree"), F.col("n"), axis, test)
+    every = lambda n: F.lit(True)
+    return found.select(
+        "page_id",
+        near("previous", lambda n: n["tag"] == "a")["attrs"]["href"].alias("last_link"),
+        near("next_sibling", every)["tag"].alias("after"),
+        near("next", lambda n: n["tag"].rlike("^h[1-6]$"))["text_strip"].alias("heading"),
+        near("parent", every)["tag"].alias("above"),
+    )
+
+
+@query(
+    f"""SELECT page_id AS council_id, (len(regexp_extract_all(split_part(html, '<li>', 1), '<[a-z]')) + 2 * (i - 1))::BIGINT AS pos, NULL::VARCHAR AS skip, trim({_UNESCAPED.format(x="name")}) AS name,
+    regexp_extract(url, '^https?://[^/]+', 0) || {_UNESCAPED.format(x="href")} AS url FROM (SELECT page_id, url, html, generate_subscripts(h, 1) AS i, unnest(h) AS href, unnest(t) AS name
+      FROM (SELECT *, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS h, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS t FROM pages))"""
+)
 def list_page_rows(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select(F.col("page_id").alias("council_id"), "url", F.col("html").alias("content"))
     rows, _ = extract.list_pages(pages, "nav", "li", {"name": ("a", F.col("text_strip"))})
     return rows.select("council_id", "pos", "url", "name", "skip")
 
 
-@query("SELECT page_id, CASE WHEN len(regexp_extract_all(html, '<article')) = 0 THEN 'none' WHEN len(regexp_extract_all(html, '<article')) > 1 THEN 'several' ELSE 'ok' END AS status FROM pages")
+@query("SELECT page_id, CASE WHEN len(regexp_extract_all(html, '<b>')) = 0 THEN 'none' WHEN len(regexp_extract_all(html, '<b>')) > 1 THEN 'several' ELSE 'ok' END AS status FROM pages")
 def page_containers(spark: SparkSession, d: str) -> DataFrame:
-    return selectors.one_container(_page_nodes(spark, d), "article", "page_id").select("page_id", "status")
+    n = F.size(_named("article b"))
+    return _trees(spark, d).select("page_id", F.when(n == 0, "none").when(n > 1, "several").otherwise("ok").alias("status"))
 
 
 @query("SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), ''), url) AS page, regexp_extract(regexp_replace(url, '/+$', ''), '[^/]*$', 0) AS last FROM pages")
@@ -562,7 +600,13 @@ def date_forms(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", values.iso_time(at).alias("iso"), british.alias("british"), values.date_of(british).alias("day"))
 
 
-@query()
+@query(
+    """WITH o AS (SELECT *, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) - 1 AS w,
+      row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey::VARCHAR || '<') - 1 AS c, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+    SELECT o_custkey AS council_id, (w * 100000 + c)::INT AS pos, 'https://example.org/mgUserInfo.aspx?UID=' || o_orderkey AS url, o_orderkey::VARCHAR AS identifier, 'Cllr ' || o_orderkey AS name,
+    o_orderpriority AS party, o_orderstatus AS division, NULL::VARCHAR AS email, NULL::VARCHAR AS photo_url, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%dT00:00:00') END AS standing_down
+    FROM o WHERE n >= 10"""
+)
 def ward_listing_rows(spark: SparkSession, d: str) -> DataFrame:
     """Orders as the XML answers of a listing, one for each customer, read back into rows and judged."""
     rows = table(spark, d, "orders")

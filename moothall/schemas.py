@@ -66,6 +66,7 @@ REGISTRY = T.StructType(
         T.StructField("content", T.StringType()),
     ]
 )
+FAILING = T.StructType([T.StructField("council_id", T.StringType()), T.StructField("latest_run", _strings("log_text"))])
 TASK = _strings("scraper_type", "council")
 QUEUE_MESSAGE = T.StructType([T.StructField("Records", T.ArrayType(_strings("messageId", "body")))])
 LOG_EVENT = T.StructType([T.StructField("timestamp", T.LongType()), T.StructField("message", T.StringType())])

@@ -100,6 +100,38 @@ def staged_over_base(staged: DataFrame, base: DataFrame, key: str = "path") -> D
     return both.select(key, F.coalesce("new", "old").alias("content"))
 
 
+def with_metadata(folders: DataFrame, documents: DataFrame) -> DataFrame:
+    """Every council of the registry with its metadata; one without a document has an empty record."""
+    return folders.select("council_id").distinct().join(documents, "council_id", "left")
+
+
+def failing_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(council_id, log_text) of a JSON listing of councils whose latest run failed."""
+    rows = spark.read.schema(schemas.FAILING).option("multiLine", True).json(path)
+    return rows.select("council_id", F.col("latest_run.log_text").alias("log_text"))
+
+
+def tree_size(spark: SparkSession, root: str) -> DataFrame:
+    """(files, bytes) of a directory tree; contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def report_of(reports: DataFrame, execution_id: str, key: str = "key") -> DataFrame:
+    """The reports whose key has the first eight characters of a run's id."""
+    return reports.where(F.contains(key, F.lit(execution_id[:8])))
+
+
+def outstanding(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows whose output isn't there yet."""
+    return rows.join(done.select(key), key, "left_anti")
+
+
+def large_enough(rows: DataFrame, size: str = "content_length", least: int = 4000) -> DataFrame:
+    """Payloads of so many bytes or more; an unknown size passes."""
+    return rows.where(F.coalesce(F.col(size) >= least, F.lit(True)))
+
+
 def remote_files(listing: DataFrame) -> DataFrame:
     """Files of a repository listing: blobs that aren't hidden, a readme or a license, with inline content decoded."""
     name = F.substring_index("path", "/", -1)

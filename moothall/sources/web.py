@@ -2,13 +2,17 @@
 
 ``spark.dataSource.register(PageSource)``, then ``spark.read.format("pages").option("urls", json_list)``. Pages are dealt to
 partitions of ``per_partition`` links. A page that can't be had is a row with a status and an error, not a failed job.
-With ``next_pattern`` a partition follows the link that the pattern's first group has, ``max_pages`` at most.
+Answers 429 and 5xx and failed connections are asked for again, ``retries`` times in all, after a pause that doubles.
+With ``next_pattern`` a partition follows the link that the pattern's first group has; where ``max_pages`` is given and
+ends a chain, its last row's error says so. ``verify`` false takes any certificate, ``proxy`` is a proxy's address, and
+``query`` (a JSON object) is put into every address: filters that the server is to apply.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import ssl
 import time
 import urllib.error
 import urllib.parse
@@ -40,33 +44,55 @@ class PageReader(DataSourceReader):
         self.urls = json.loads(options["urls"])
         self.per_partition = int(options.get("per_partition", 10))
         self.timeout, self.pause = float(options.get("timeout", 30)), float(options.get("pause", 0))
-        self.retries, self.max_pages = int(options.get("retries", 3)), int(options.get("max_pages", 1000))
+        self.retries, self.max_pages = int(options.get("retries", 3)), int(options.get("max_pages", 0))
+        self.verify, self.proxy = options.get("verify", "true").lower() != "false", options.get("proxy")
+        self.query = json.loads(options.get("query", "{}"))
         self.headers, self.next = json.loads(options.get("headers", "{}")), options.get("next_pattern")
 
     def partitions(self) -> list[Links]:
         return [Links(self.urls[i : i + self.per_partition]) for i in range(0, len(self.urls), self.per_partition)]
 
+    def opener(self) -> urllib.request.OpenerDirector:
+        context = ssl.create_default_context() if self.verify else ssl._create_unverified_context()
+        handlers: list = [urllib.request.HTTPSHandler(context=context)]
+        if self.proxy:
+            handlers.append(urllib.request.ProxyHandler({"http": self.proxy, "https": self.proxy}))
+        return urllib.request.build_opener(*handlers)
+
+    def asked(self, url: str) -> str:
+        """An address with the query's values."""
+        if not self.query:
+            return url
+        own = urllib.parse.urlsplit(url)
+        values = dict(urllib.parse.parse_qsl(own.query, keep_blank_values=True)) | self.query
+        return urllib.parse.urlunsplit(own._replace(query=urllib.parse.urlencode(values)))
+
     def fetch(self, url: str) -> tuple[int, str | None, str | None]:
-        error = None
-        for _ in range(self.retries):
+        status, error, opener = 0, None, self.opener()
+        for turn in range(self.retries):
+            if turn:
+                time.sleep(self.pause * 2 ** (turn - 1))
             try:
                 request = urllib.request.Request(url.replace(" ", "%20"), headers=self.headers)
-                with urllib.request.urlopen(request, timeout=self.timeout) as r:
+                with opener.open(request, timeout=self.timeout) as r:
                     return r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace"), None
             except urllib.error.HTTPError as e:
-                return e.code, None, str(e)
+                status, error = e.code, str(e)
+                if status != 429 and status < 500:
+                    break
             except (OSError, ValueError) as e:
-                error = str(e)
-                time.sleep(self.pause)
-        return 0, None, error
+                status, error = 0, str(e)
+        return status, None, error
 
     def read(self, partition: Links) -> Iterator[tuple]:
         for start in partition.value:
             url, page, seen = start, 0, set()
-            while url and url not in seen and page < self.max_pages:
+            while url and url not in seen:
                 seen.add(url)
-                status, content, error = self.fetch(url)
-                yield start, page, status, content, error
+                status, content, error = self.fetch(self.asked(url))
                 found = re.search(self.next, content or "") if self.next else None
+                if found and page + 1 == self.max_pages:
+                    found, error = None, f"more pages than {self.max_pages}"
+                yield start, page, status, content, error
                 url, page = urllib.parse.urljoin(url, found[1]) if found else None, page + 1
                 time.sleep(self.pause)

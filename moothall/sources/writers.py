@@ -22,6 +22,11 @@ def as_documents(people: DataFrame) -> DataFrame:
     return people.select("council_id", file_name(F.col("identifier"), F.col("name"), "json").alias("file_name"), body.alias("content"))
 
 
+def as_raw(people: DataFrame, content: Column, ext: str = "html") -> DataFrame:
+    """council_id, the file's name and the payload that each office-holder came from, as it was captured."""
+    return people.select("council_id", file_name(F.col("identifier"), F.col("name"), ext).alias("file_name"), content.alias("content"))
+
+
 def replace_partitions(rows: DataFrame, path: str, key: str = "council_id", form: str = "parquet") -> None:
     """Replace the partitions that ``rows`` has rows for, and no others."""
     out = rows.write.partitionBy(key).mode("overwrite").option("partitionOverwriteMode", "dynamic")
