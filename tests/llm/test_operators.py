@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -765,3 +766,21 @@ def test_against_sql(spark, tmp_path, name, oracle, report):
     columns = [c[0] for c in got.description]
     have = report(spark.read.parquet(str(tmp_path / "d"))).select(*columns).collect()
     assert sorted(map(tuple, have), key=repr) == sorted(got.fetchall(), key=repr)
+
+
+def test_what_follows_is_the_same_from_known_places():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        line = rng.integers(0, 1 << 60, 15, np.uint64)
+        a, b = (np.concatenate([np.where(rng.random(15) < 0.15, rng.integers(0, 1 << 60, 15, np.uint64), line) for _ in range(int(rng.integers(5, 25)))]) for _ in range(2))
+        known: dict = {}
+        for at, other, n in zip(*passages._anchors(a, b)):
+            assert passages.grown(a, b, at, other, n, known=known) == passages.grown(a, b, at, other, n)
+
+
+def test_texts_of_lines_that_are_never_alike_enough():
+    rng = np.random.default_rng(6)
+    line = rng.integers(0, 1 << 60, 15, np.uint64)
+    a, b = (np.concatenate([np.append(line[:11], rng.integers(0, 1 << 60, 4, np.uint64)) for _ in range(60)]) for _ in range(2))
+    start = time.perf_counter()
+    assert passages.align_all(a, b) == [] and time.perf_counter() - start < 20
