@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moothall.llm import decontaminate, licenses, secrets
+from moothall.llm import decontaminate, infill, licenses, secrets
 from moothall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,25 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data in every document."""
+    from moothall.llm import pii
+
+    return pii.personal_report(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents that is frequent enough, and the more frequent word that it may be a misspelling of."""
+    from moothall.llm import variants
+
+    return variants.variant_report(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved to the end, and restored from that."""
+    return infill.fim_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -116,9 +135,13 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_secret_scan": op10_secret_scan,
+    "op11_personal_data": op11_personal_data,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_license_scan": licenses.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
     "op10_secret_scan": secrets.ORACLE,
+    "op13_fill_in_middle": infill.ORACLE,
 }
