@@ -2,125 +2,64 @@
 
 A page becomes one row for each element, with pre-order interval encoding: an element's descendants are the rows of the
 same page whose ``pre`` lies in (pre, end]. Every axis of a tree is then an equality on the page and a comparison of
-numbers. Parsing keeps to what browsers do with unclosed and implied tags: void elements, closing of p, li, td, tr, dt, dd
-and option by their successors, and tbody inside table.
+numbers. ``tree`` builds pages as browsers do, so each has html, head and body. ``all_nodes`` gives texts and comments too,
+with their places in the source.
 
-All of a page's rows come from one task, which holds one page at a time.
+``found`` and ``listed`` match selectors while a page is parsed and hand on what they name, so that the rest of the tree never
+leaves the task. All of a page's rows come from one task, which holds one page at a time.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: An open element that a new one closes, up to the element that shields it.
-_BLOCKS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-_CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"})}
-_CLOSES |= {"tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
-_CLOSES |= {t: ({"tr", "td", "th", "thead", "tbody", "tfoot"}, {"table"}) for t in ("thead", "tbody", "tfoot")}
-_HIDDEN = frozenset(("script", "style", "template"))
-
-NODE = (
-    "array<struct<pre:int,end:int,parent:int,depth:int,sib_index:int,sib_count:int,tag:string,id:string,"
-    "classes:array<string>,attrs:map<string,string>,own_text:string,text_strip:string,text_after:string>>"
+from moothall.operators import matching, tree
+from moothall.operators.selectors import steps
+
+_STRUCT = (
+    "struct<pre:int,end:int,parent:int,depth:int,sib_index:int,sib_count:int,tag:string,id:string,"
+    "classes:array<string>,attrs:map<string,string>,own_text:string,text_strip:string,text_after:string>"
 )
-_FIELDS = ("pre", "end", "parent", "depth", "sib_index", "sib_count", "tag", "id", "classes", "attrs", "own_text", "text_strip", "text_after")
-
-
-class _Builder(HTMLParser):
-    """Rows of elements in document order, each a dict that is filled as the page goes on."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.open: list[int] = []
-        self.last: int | None = None
-
-    def _close_to(self, k: int) -> None:
-        while len(self.open) > k:
-            self.rows[self.open.pop()]["end"] = len(self.rows) - 1
-
-    def _imply(self, tag: str) -> None:
-        closed, shields = _CLOSES.get(tag, ({"p"} if tag in _BLOCKS else set(), {"table", "td", "th", "button"}))
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.rows[self.open[k]]["tag"]
-            if name in closed:
-                self._close_to(k)
-                if tag in ("li", "dt", "dd", "option", "td", "th") or tag in _BLOCKS:
-                    return
-            elif name in shields:
-                break
-        if tag == "tr" and self.open and self.rows[self.open[-1]]["tag"] == "table":
-            self._start("tbody", {})
-
-    def _start(self, tag: str, attrs: dict) -> None:
-        parent = self.open[-1] if self.open else None
-        self.rows.append(
-            {"pre": len(self.rows), "end": len(self.rows), "parent": parent, "depth": len(self.open), "tag": tag, "attrs": attrs, "own": [], "texts": [], "after": []}
-        )
-        self.last = len(self.rows) - 1
-        if tag not in VOID:
-            self.open.append(self.last)
-
-    def handle_starttag(self, tag: str, attrs) -> None:
-        self._imply(tag)
-        self._start(tag, {k: v or "" for k, v in reversed(attrs)})
-
-    def handle_startendtag(self, tag: str, attrs) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.rows[self.open[k]]["tag"] == tag:
-                self._close_to(k)
-                return
-
-    def handle_data(self, data: str) -> None:
-        if self.last is not None:
-            self.rows[self.last]["after"].append(data)
-        if not self.open or any(self.rows[k]["tag"] in _HIDDEN for k in self.open[-1:]):
-            return
-        self.rows[self.open[-1]]["own"].append(data)
-        for k in self.open:
-            self.rows[k]["texts"].append(data)
-
-
-def parse(html: str) -> list[tuple]:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    builder._close_to(0)
-    rows = builder.rows
-    families: dict[int | None, list[int]] = {}
-    for r in rows:
-        families.setdefault(r["parent"], []).append(r["pre"])
-    for members in families.values():
-        for i, k in enumerate(members):
-            rows[k]["sib_index"], rows[k]["sib_count"] = i + 1, len(members)
-    out = []
-    for r in rows:
-        attrs = r["attrs"]
-        # each text stripped, empty ones left out, and nothing put between them
-        stripped = "".join(filter(None, (t.strip() for t in r["texts"])))
-        after = "".join(r["after"][:1])
-        out.append(
-            (r["pre"], r["end"], r["parent"], r["depth"], r["sib_index"], r["sib_count"], r["tag"], attrs.get("id"), re.split(r"\s+", attrs["class"].strip()) if attrs.get("class", "").strip() else [], attrs, "".join(r["own"]), stripped, after)
-        )
-    return out
+NODE = f"array<{_STRUCT}>"
+#: Nodes of every kind: ``at`` is a place in document order, ``tag`` is #text or #comment for what is no element, ``start``
+#: and ``stop`` are places in the source in code points.
+ANY_NODE = "array<struct<at:int,last:int,parent:int,depth:int,tag:string,attrs:map<string,string>,text:string,start:int,stop:int>>"
+
+
+class Elements:
+    """A page's elements as rows that are made when they are asked for."""
+
+    def __init__(self, page: tree.Page):
+        self.page = page
+        self.pre = {i: k for k, i in enumerate(page.elements)}
+        self.index, self.count = matching._places(page)
+
+    def row(self, i: int) -> dict:
+        p, up = self.page, self.page.up[i]
+        k = self.pre[i]
+        below = matching.bisect_right(p.elements, p.last[i]) - 1
+        after = p.texts[at] if (at := matching.bisect_right(p.texts, i)) < len(p.texts) else None
+        attrs = p.attrs[i]
+        return {
+            "pre": k, "end": below, "parent": self.pre.get(up), "depth": p.depth[i], "sib_index": self.index[i], "sib_count": self.count[up],
+            "tag": p.tag[i], "id": attrs.get("id"), "classes": tree.classes(attrs), "attrs": attrs, "own_text": "".join(p.text[x] for x in p.kids(i) if p.tag[x] == "#text"),
+            "text_strip": p.joined_text(i), "text_after": "" if after is None else p.text[after],
+        }
+
+
+def parse(html: str) -> list[dict]:
+    """The rows of a page's elements in document order."""
+    rows = Elements(tree.Page(html))
+    return [rows.row(i) for i in rows.page.elements]
 
 
 def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for pages in batches:
-        out = []
-        for page in pages.fillna(""):
-            out.append([dict(zip(_FIELDS, row)) for row in parse(page)])
-        yield pd.Series(out, dtype=object)
+        yield pd.Series([parse(page) for page in pages.fillna("")], dtype=object)
 
 
 def parsed(html: Column) -> Column:
@@ -135,3 +74,112 @@ def node_table(pages: DataFrame, key: str, html: str) -> DataFrame:
     first text after the start tag). Null or empty pages have no elements."""
     nodes = F.pandas_udf(_parsed, NODE)(F.col(html))
     return pages.select(F.col(key), F.inline(nodes))
+
+
+def _every(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    names = ("at", "last", "parent", "depth", "tag", "attrs", "text", "start", "stop")
+    for pages in batches:
+        out = []
+        for html in pages.fillna(""):
+            p = tree.Page(html)
+            text = [t if tag[0] == "#" else None for t, tag in zip(p.text, p.tag)]
+            out.append([dict(zip(names, r)) for r in zip(range(len(p.tag)), p.last, p.up, p.depth, p.tag, p.attrs, text, p.start, p.stop)])
+        yield pd.Series(out, dtype=object)
+
+
+def all_nodes(html: Column) -> Column:
+    """Every node of a page as an array in document order, fields as in ANY_NODE; the parent of a node at the top is -1."""
+    return F.pandas_udf(_every, ANY_NODE).asNondeterministic()(html)
+
+
+def source_of(html: Column, node: Column) -> Column:
+    """A node's own source, from its start tag to its end tag."""
+    return F.substring(html, node["start"] + 1, node["stop"] - node["start"])
+
+
+def byte_range(html: Column, node: Column) -> Column:
+    """struct (start, stop) of a node in the page's UTF-8 bytes."""
+    at = lambda c: F.octet_length(F.substring(html, F.lit(1), c))
+    return F.struct(at(node["start"]).alias("start"), at(node["stop"]).alias("stop"))
+
+
+def text_of(nodes: Column, node: Column, separator: str = "", strip: bool = True) -> Column:
+    """All texts below a node of ``all_nodes`` in order, each stripped, empty ones left out, with ``separator`` between; those of
+    scripts and styles only where the node is one."""
+    inside = F.slice(nodes, node["at"] + 1, node["last"] - node["at"] + 1)
+    shown = lambda n: (n["parent"] == node["at"]) | ~F.get(nodes, n["parent"])["tag"].isin(*sorted(tree.HIDDEN))
+    texts = F.transform(F.filter(inside, lambda n: (n["tag"] == "#text") & shown(n)), lambda n: F.regexp_replace(n["text"], r"^\s+|\s+$", "") if strip else n["text"])
+    return F.array_join(F.filter(texts, lambda t: t != "") if strip else texts, separator)
+
+
+def contents(nodes: Column, node: Column) -> Column:
+    """The nodes right below a node of ``all_nodes``."""
+    inside = F.slice(nodes, node["at"] + 2, node["last"] - node["at"])
+    return F.filter(inside, lambda n: n["parent"] == node["at"])
+
+
+def _found(batches: Iterator[pd.Series], css: Mapping[str, str]) -> Iterator[pd.DataFrame]:
+    program = matching.Program({k: steps(v) for k, v in css.items()})
+    for pages in batches:
+        out = []
+        for html in pages.fillna(""):
+            rows = Elements(tree.Page(html))
+            out.append({k: [rows.row(i) for i in v] for k, v in program.run(rows.page).items()})
+        yield pd.DataFrame(out, columns=list(css), dtype=object)
+
+
+def found(html: Column, **css: str) -> Column:
+    """struct: for each name the nodes that its selector names, in document order. A page is parsed once for all of them."""
+    for c in css.values():
+        steps(c)
+    kind = "struct<" + ",".join(f"{k}:{NODE}" for k in css) + ">"
+
+    def run(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return _found(pages, css)
+
+    return F.pandas_udf(run, kind).asNondeterministic()(html)
+
+
+def _listed(batches: Iterator[pd.Series], container: str, row: str, css: Mapping[str, str]) -> Iterator[pd.DataFrame]:
+    program = matching.Program({"container": steps(container), "row": steps(row)} | {f"f_{k}": steps(v) for k, v in css.items()})
+    for pages in batches:
+        out = []
+        for html in pages.fillna(""):
+            rows = Elements(tree.Page(html))
+            hits = program.run(rows.page)
+            box = hits["container"][0] if hits["container"] else None
+            listed = []
+            for r in matching.below(rows.page, hits["row"], box) if box is not None else ():
+                fields = {k: matching.first(rows.page, hits[f"f_{k}"], r) for k in css}
+                listed.append({"row": rows.row(r)} | {f"f_{k}": None if i is None else rows.row(i) for k, i in fields.items()})
+            out.append((len(rows.page.elements), len(hits["container"]), listed))
+        yield pd.DataFrame(out, columns=["n_nodes", "n_boxes", "rows"])
+
+
+def listed(html: Column, container: str, row: str, css: Mapping[str, str]) -> Column:
+    """struct: ``n_nodes`` of a page, ``n_boxes`` (how many containers it has), and ``rows`` in the first of them, each a struct
+    of ``row`` and, for each field, ``f_<name>``: the first node below the row that the field's selector names."""
+    for c in (container, row, *css.values()):
+        steps(c)
+    fields = ",".join([f"row:{_STRUCT}", *[f"f_{k}:{_STRUCT}" for k in css]])
+    kind = f"struct<n_nodes:int,n_boxes:int,rows:array<struct<{fields}>>>"
+
+    def run(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return _listed(pages, container, row, css)
+
+    return F.pandas_udf(run, kind).asNondeterministic()(html)
+
+
+def pretty(html: Column, css: str) -> Column:
+    """Of each node that a selector names its markup, each tag and each text in a line of its own; an array."""
+    program = {"found": steps(css)}
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ready = matching.Program(program)
+        for pages in batches:
+            out = []
+            for page in map(tree.Page, pages.fillna("")):
+                out.append([page.pretty(i) for i in ready.run(page)["found"]])
+            yield pd.Series(out, dtype=object)
+
+    return F.pandas_udf(run, "array<string>").asNondeterministic()(html)

@@ -1,10 +1,10 @@
-"""CSS selectors over pages' arrays of nodes and over node tables.
+"""CSS selectors, as data and over node tables.
 
 The subset that rosters use: tags, classes, ids, attributes (``=``, ``^=``, ``*=``, ``$=``), ``:first-child``,
 ``:last-child``, ``:nth-child(n)``, descendants, children, next siblings (``+``) and comma lists; anything else is a
-ValueError. A simple selector is a predicate on one node; a combinator is a semi join of the nodes with their ancestors,
-parents or siblings on the same page. Over an array (``matched``, ``closest``) the page is parsed once for all selectors
-and nothing is shuffled; node tables are for what goes on to other tables.
+ValueError. ``steps`` gives a selector as data, which ``matching`` runs over a page in one pass while it is parsed
+(``nodes.found``, ``nodes.listed``). Over node tables, which are for what goes on to other tables, a simple selector is a
+predicate on one node, and a combinator a semi join of the nodes with their ancestors, parents or siblings on the same page.
 """
 
 from __future__ import annotations
@@ -62,46 +62,30 @@ def predicate(simple: str, get: Callable[[str], Column] = F.col) -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, tests), F.lit(False))
 
 
-def below(n: Column, o: Column) -> Column:
-    """Whether node ``n`` is below ``o``."""
-    return (n["pre"] > o["pre"]) & (n["pre"] <= o["end"])
-
-
-#: How a node stands to one of the step before, by combinator.
-_STANDS = {
-    "": below,
-    ">": lambda n, o: n["parent"] == o["pre"],
-    "+": lambda n, o: n["parent"].eqNullSafe(o["parent"]) & (n["sib_index"] == o["sib_index"] + 1),
-}
-
-
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, not again for each element that ``use`` goes through."""
-    return F.transform(F.array(value), use)[0]
-
+def steps(css: str) -> list[list[tuple[str, list[tuple[str, str, str, str]]]]]:
+    """A selector as data: for each part of a comma list its steps, each a combinator and tests (on, name, op, value)."""
+    return [[(sign, tests_of(simple)) for sign, simple in path] for path in parts(css)]
 
-def matched(tree: Column, css: str) -> Column:
-    """The nodes of a page's array (``nodes.parsed``) that a selector names, in document order, each once."""
 
-    def named(all_nodes: Column, simple: str) -> Column:
-        return F.filter(all_nodes, lambda n: predicate(simple, n.getField))
-
-    def further(all_nodes: Column, level: Column, sign: str, simple: str) -> Column:
-        return bound(level, lambda lv: F.filter(named(all_nodes, simple), lambda n: F.exists(lv, lambda o: _STANDS[sign](n, o))))
-
-    def path(all_nodes: Column, steps: list[tuple[str, str]]) -> Column:
-        return reduce(lambda level, step: further(all_nodes, level, *step), steps[1:], named(all_nodes, steps[0][1]))
-
-    paths = parts(css)
-    if len(paths) == 1:
-        return bound(tree, lambda t: path(t, paths[0]))
-    places = lambda t: F.concat(*[F.transform(path(t, steps), lambda n: n["pre"]) for steps in paths])
-    return bound(tree, lambda t: bound(places(t), lambda at: F.filter(t, lambda n: F.array_contains(at, n["pre"]))))
+def tests_of(simple: str) -> list[tuple[str, str, str, str]]:
+    """What a simple selector asks of a node."""
+    out = []
+    for m in _PART.finditer(simple):
+        cls, ident, attr, op, value, edge, nth, tag = m.groups()
+        if tag:
+            out += [("tag", "", "", tag.lower())] if tag != "*" else []
+        elif cls or ident:
+            out.append(("class" if cls else "id", "", "", cls or ident))
+        elif attr:
+            out.append(("attr", attr, op or "", (value or "").strip("\"'")))
+        else:
+            out.append((edge or "nth", "", "", nth or ""))
+    return out
 
 
-def first_below(found: Column, outer: Column) -> Column:
-    """The first of some nodes that is below a node; null without one."""
-    return F.get(F.filter(found, lambda n: below(n, outer)), F.lit(0))
+def below(n: Column, o: Column) -> Column:
+    """Whether node ``n`` is below ``o``."""
+    return (n["pre"] > o["pre"]) & (n["pre"] <= o["end"])
 
 
 def valued(rows: DataFrame, node: str, value: Column, name: str) -> DataFrame:

@@ -7,17 +7,17 @@ A site with rules of its own passes Columns: what a field is, what to skip.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moothall import schemas
 from moothall.functions import links, text, values
 from moothall.operators import nodes, people, selectors
-
-#: More nodes than a page has: positions of a page's rows go on from those of the page before.
-PAGE_NODES = 1 << 32
+from moothall.plans import sites
+from moothall.plans.sites import PAGE_NODES
 
 
 def ward_listing(payloads: DataFrame, skip: dict[str, Column] | None = None) -> DataFrame:
@@ -44,46 +44,38 @@ def ward_listing(payloads: DataFrame, skip: dict[str, Column] | None = None) ->
 
 
 def person_blocks(
-    pages: DataFrame, details: DataFrame | None = None, division_label: str = "Ward:", block: str = "PE_People_PersonBlock", party: tuple[str, Column] | None = None
+    pages: DataFrame, details: DataFrame | None = None, division_label: str = "Ward:", block: str = "PE_People_PersonBlock", party: list[sites.Written] | None = None
 ) -> DataFrame:
     """Office-holders from list pages of person blocks: link, name, the text after the ward's label, and the title of the
-    last picture as party. Columns of ``pages``: council_id, content. ``details`` (url, content) adds e-mails. A site that names
-    parties otherwise gives ``party``: a selector and a Column of the node."""
-    tree = nodes.node_table(pages, "council_id", "content").persist()
-    rows = selectors.select(tree, f"div.{block}", "council_id").select("council_id", "pre", "end")
-    rows = selectors.field(rows, tree, "a", F.col("attrs")["href"], "url", "council_id")
-    rows = selectors.field(rows, tree, "div.NameLink", F.col("text_strip"), "name", "council_id")
-    # the label is an element's own text; the ward is the text that follows it, inside or after the element
-    label = tree.where(text.strip(F.col("own_text")).startswith(division_label)).select(
-        F.col("council_id").alias("k"), F.col("pre").alias("lpre"), F.col("parent").alias("lparent"), F.col("own_text").alias("said"), F.col("end").alias("lend")
-    )
-    value = tree.select(F.col("council_id").alias("vk"), F.col("pre").alias("vpre"), F.col("text_strip").alias("value"), F.col("text_after").alias("after"))
-    found = label.join(value, (F.col("k") == F.col("vk")) & (F.col("vpre") > F.col("lpre")))
-    found = found.groupBy("k", "lpre").agg(F.min_by("value", "vpre").alias("next"), F.first("said").alias("said"))
-    inline = text.strip(F.regexp_replace(text.strip(F.col("said")), f"^{division_label}", ""))
-    found = found.select("k", "lpre", text.first_of(inline, F.col("next")).alias("division"))
-    own = rows.select(F.col("council_id").alias("rk"), F.col("pre").alias("rpre"), F.col("end").alias("rend"))
-    wards = own.join(found, (F.col("rk") == F.col("k")) & (F.col("lpre") > F.col("rpre")) & (F.col("lpre") <= F.col("rend")))
-    wards = wards.groupBy("rk", "rpre").agg(F.min_by("division", "lpre").alias("division"))
-    rows = rows.join(wards, (F.col("council_id") == F.col("rk")) & (F.col("pre") == F.col("rpre")), "left").drop("rk", "rpre")
-    images = tree.where(F.col("tag") == "img").select(F.col("council_id").alias("ik"), F.col("pre").alias("ipre"), F.col("attrs")["title"].alias("title"))
-    parties = own.join(images, (F.col("rk") == F.col("ik")) & (F.col("ipre") > F.col("rpre")) & (F.col("ipre") <= F.col("rend")))
-    parties = parties.groupBy("rk", "rpre").agg(F.max_by("title", "ipre").alias("title"))
-    rows = rows.join(parties, (F.col("council_id") == F.col("rk")) & (F.col("pre") == F.col("rpre")), "left").drop("rk", "rpre")
-    if party is not None:
-        rows = selectors.field(rows.drop("title"), tree, party[0], party[1], "title", "council_id")
-    rows = rows.select(
+    last picture as party. Columns of ``pages``: council_id, content; a council may have several, in the order of ``n`` or
+    else ``url``, if there are such columns. ``details`` (url, content) adds e-mails. A site that names parties otherwise
+    gives ``party``, a chain of steps from the block."""
+    label = ("find_text", rf"^\s*{re.escape(division_label)}")
+    rules = {
+        "row": [("select", f"div.{block}")],
+        "link": [("select", "a"), ("attr", "href")],
+        "name": [("select", "div.NameLink"), ("text",)],
+        "inline": [label, ("text",), ("replace", division_label), ("strip",)],
+        "beside": [label, ("next_text",), ("text",)],
+        "party": party or [("last", "img"), ("attr", "title")],
+    }
+    order = next((c for c in ("n", "url") if c in pages.columns), None)
+    own = pages.select("council_id", F.lit("blocks").alias("site"), F.lit("").alias("url"), "content", (F.col(order) if order else F.xxhash64("content")).alias("__page"))
+    found = sites.listings(own, sites.rule_table(pages.sparkSession, {"blocks": rules})).select("council_id", "__page", F.inline("rows"))
+    # rows of a council are as many as its people
+    page = F.dense_rank().over(Window.partitionBy("council_id").orderBy("__page")) - 1
+    value = lambda name: F.col("fields")[name]
+    rows = found.select(
         "council_id",
-        F.col("pre").alias("pos"),
-        "url",
-        links.segment_after(F.col("url"), "id").alias("identifier"),
-        "name",
-        text.strip(F.replace("title", F.lit("(logo)"), F.lit(""))).alias("party"),
-        "division",
+        (F.col("pos") + page * PAGE_NODES).alias("pos"),
+        value("link").alias("url"),
+        links.segment_after(value("link"), "id").alias("identifier"),
+        value("name").alias("name"),
+        text.strip(F.replace(value("party"), F.lit("(logo)"), F.lit(""))).alias("party"),
+        text.first_of(value("inline"), value("beside")).alias("division"),
     )
     if details is not None:
-        mails = nodes.node_table(details, "url", "content")
-        mails = selectors.select_one(mails, ".Email", "url").select(F.col("url").alias("u"), F.col("text_strip").alias("email"))
+        mails = details.select(F.col("url").alias("u"), F.get(nodes.found(F.col("content"), mail=".Email")["mail"], F.lit(0))["text_strip"].alias("email"))
         rows = rows.join(mails, F.col("url") == F.col("u"), "left").drop("u")
     else:
         rows = rows.withColumn("email", F.lit(None).cast("string"))
@@ -98,20 +90,16 @@ def list_pages(
 
     With ``paged`` a council has several pages, numbered by a column ``n`` from 0 (``linked_pages`` gives them); rows go
     on from page to page, and of several containers of a page the first one counts."""
-    tree, ok = F.col("tree"), ("ok", "several") if paged else ("ok",)
-    css = {"__link": link} | {f"__f_{n}": c for n, (c, _) in fields.items()}
-    own = pages.select("council_id", "url", (F.col("n").cast("long") if paged else F.lit(0)).alias("n"), nodes.parsed(F.col("content")).alias("tree"))
-    found = own.where(F.size("tree") > 0).select("council_id", "url", "n", selectors.matched(tree, container).alias("boxes"), selectors.matched(tree, row).alias("rows"), *[selectors.matched(tree, c).alias(k) for k, c in css.items()])
-    found = found.withColumn("status", F.when(F.size("boxes") == 0, "none").when(F.size("boxes") > 1, "several").otherwise("ok"))
+    ok = ("ok", "several") if paged else ("ok",)
+    own = pages.select("council_id", "url", (F.col("n").cast("long") if paged else F.lit(0)).alias("n"), nodes.listed(F.col("content"), container, row, {"_link": link} | {n: c for n, (c, _) in fields.items()}).alias("page"))
+    own = own.select("council_id", "url", "n", "page.*").where("n_nodes > 0")
+    found = own.withColumn("status", F.when(F.col("n_boxes") == 0, "none").when(F.col("n_boxes") > 1, "several").otherwise("ok"))
     failures = found.where(~F.col("status").isin(*ok)).select("council_id", "status").distinct()
-    each = F.transform(
-        F.filter("rows", lambda r: selectors.below(r, F.get("boxes", F.lit(0)))),
-        lambda r: F.struct(r["pre"].alias("__pre"), r["text_strip"].alias("text_strip"), *[selectors.first_below(F.col(k), r).alias(k) for k in css]),
-    )
-    rows = found.where(F.col("status").isin(*ok)).select("council_id", F.col("url").alias("__page"), F.col("n").alias("__n"), F.inline(each))
-    rows = selectors.valued(rows, "__link", F.col("attrs")["href"], "href")
+    rows = found.where(F.col("status").isin(*ok)).select("council_id", F.col("url").alias("__page"), F.col("n").alias("__n"), F.inline("rows"))
+    rows = rows.select("*", F.col("row.pre").alias("__pre"), F.col("row.text_strip").alias("text_strip")).drop("row")
+    rows = selectors.valued(rows, "f__link", F.col("attrs")["href"], "href")
     for name, (_, value) in fields.items():
-        rows = selectors.valued(rows, f"__f_{name}", value, name)
+        rows = selectors.valued(rows, f"f_{name}", value, name)
     rows = rows.withColumns({"url": links.absolute(F.col("__page"), F.col("href")), "pos": F.col("__pre") + F.col("__n") * PAGE_NODES})
     return rows.drop("__pre", "__page", "__n").withColumn("skip", people.skip_reason(skip or {})), failures
 
@@ -119,21 +107,19 @@ def list_pages(
 def with_next(pages: DataFrame, css: str, base: Column | None = None) -> DataFrame:
     """``pages`` (council_id, url, content) with ``next_url``: the first link in the first element that ``css`` names,
     resolved against ``base``, or the page's own address. Null where a page has none."""
-    tree = F.col("__tree")
-    own = pages.withColumn("__tree", nodes.parsed(F.col("content")))
-    href = selectors.first_below(selectors.matched(tree, "a"), F.get(selectors.matched(tree, css), F.lit(0)))["attrs"]["href"]
-    own = own.withColumn("__href", href).drop("__tree")
+    own = pages.withColumn("__next", nodes.listed(F.col("content"), css, "a", {}))
+    own = own.withColumn("__href", F.get("__next.rows", F.lit(0))["row"]["attrs"]["href"]).drop("__next")
     return own.withColumn("next_url", links.absolute(F.col("url") if base is None else base, F.col("__href"))).drop("__href")
 
 
 def with_details(rows: DataFrame, details: DataFrame, fields: dict[str, tuple[str, Column]]) -> DataFrame:
     """``rows`` with fields from their detail pages (url, content), each page parsed once."""
     needed = details.join(rows.select("url").distinct(), "url", "left_semi")
-    tree = nodes.node_table(needed, "url", "content").persist()
-    for name, (css, value) in fields.items():
-        found = selectors.select_one(tree, css, "url").select(F.col("url").alias("__u"), value.alias(name))
-        rows = rows.join(found, F.col("url") == F.col("__u"), "left").drop("__u")
-    return rows
+    css = {f"f{i}": c for i, (c, _) in enumerate(fields.values())}
+    found = needed.select(F.col("url").alias("__u"), nodes.found(F.col("content"), **css).alias("__found"))
+    for i, (name, (_, value)) in enumerate(fields.items()):
+        found = selectors.valued(found.withColumn("__node", F.get(F.col(f"__found.f{i}"), F.lit(0))), "__node", value, name)
+    return rows.join(found.drop("__found"), F.col("url") == F.col("__u"), "left").drop("__u")
 
 
 def linked_pages(pages: DataFrame, first: DataFrame) -> DataFrame:

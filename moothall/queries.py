@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from moothall.functions import codecs, links, text, values
 from moothall.operators import axes, checks, merge, nodes, people, registry, runs, selectors
-from moothall.plans import extract
+from moothall.plans import extract, sites
 from moothall.sources import readers, writers
 from moothall.sources.readers import table
 from moothall.streaming import logs
@@ -396,12 +396,12 @@ def _trees(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", "url", nodes.parsed(F.col("html")).alias("tree"))
 
 
-def _named(css: str) -> Column:
-    return selectors.matched(F.col("tree"), css)
+def _found(spark: SparkSession, d: str, **css: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", "url", nodes.found(F.col("html"), **css).alias("found")).select("page_id", "url", "found.*")
 
 
-def _first(css: str) -> Column:
-    return F.explode(F.slice(_named(css), 1, 1)).alias("n")
+def _first(name: str) -> Column:
+    return F.explode(F.slice(name, 1, 1)).alias("n")
 
 
 _UNESCAPED = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
@@ -409,7 +409,7 @@ _UNESCAPED = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '
 
 @query(f"SELECT page_id, trim({_UNESCAPED.format(x='regexp_extract(html, $re$<title>(.*?)</title>$re$, 1, $o$s$o$)')}) AS title FROM pages")
 def page_titles(spark: SparkSession, d: str) -> DataFrame:
-    return _trees(spark, d).select("page_id", _first("head > title")).select("page_id", F.col("n.text_strip").alias("title"))
+    return _found(spark, d, title="head > title").select("page_id", _first("title")).select("page_id", F.col("n.text_strip").alias("title"))
 
 
 @query(f"SELECT page_id, {_UNESCAPED.format(x='unnest(regexp_extract_all(html, $re$<a href=\"([^\"]*)\"$re$, 1))')} AS href FROM pages")
@@ -418,7 +418,7 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _link_nodes(spark: SparkSession, d: str) -> DataFrame:
-    found = _trees(spark, d).select("page_id", "url", F.explode(_named("nav ul li > a[href]")).alias("n"))
+    found = _found(spark, d, links="nav ul li > a[href]").select("page_id", "url", F.explode("links").alias("n"))
     return found.select("page_id", F.col("url").alias("base"), F.col("n.attrs")["href"].alias("href"))
 
 
@@ -435,13 +435,13 @@ _ARTICLE_SQL = "regexp_extract(html, $re$<article>(.*)</article>$re$, 1, $o$s$o$
     FROM (SELECT page_id, html, array_to_string([trim({_UNESCAPED.format(x="x")}) FOR x IN string_split_regex({_ARTICLE_SQL}, '<[^>]*>')], '') AS t FROM pages)"""
 )
 def page_article_text(spark: SparkSession, d: str) -> DataFrame:
-    found = _trees(spark, d).select("page_id", _first("article"))
+    found = _found(spark, d, article="article").select("page_id", _first("article"))
     return found.select("page_id", F.char_length("n.text_strip").alias("n_chars"), F.sha2("n.text_strip", 256).alias("sha256"), "n.depth", "n.sib_index")
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '<li>')) AS n_items, regexp_extract(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li></ul>', 1) AS last_item FROM pages")
 def page_last_items(spark: SparkSession, d: str) -> DataFrame:
-    found = _trees(spark, d).select("page_id", F.size(_named("nav li")).alias("n_items"), _first("nav li:last-child a"))
+    found = _found(spark, d, items="nav li", last="nav li:last-child a").select("page_id", F.size("items").alias("n_items"), _first("last"))
     return found.select("page_id", "n_items", F.col("n.text_strip").alias("last_item"))
 
 
@@ -452,7 +452,7 @@ def page_last_items(spark: SparkSession, d: str) -> DataFrame:
 def page_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """What stands next to a page's article: the last link before it, the first heading after its start, its sibling, and
     what holds it."""
-    found = _trees(spark, d).select("page_id", "tree", _first("article"))
+    found = _trees(spark, d).select("page_id", "tree", F.explode(F.slice(F.filter("tree", lambda n: n["tag"] == "article"), 1, 1)).alias("n"))
     near = lambda axis, test: selectors.closest(F.col("tree"), F.col("n"), axis, test)
     every = lambda n: F.lit(True)
     return found.select(
@@ -477,8 +477,119 @@ def list_page_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT page_id, CASE WHEN len(regexp_extract_all(html, '<b>')) = 0 THEN 'none' WHEN len(regexp_extract_all(html, '<b>')) > 1 THEN 'several' ELSE 'ok' END AS status FROM pages")
 def page_containers(spark: SparkSession, d: str) -> DataFrame:
-    n = F.size(_named("article b"))
-    return _trees(spark, d).select("page_id", F.when(n == 0, "none").when(n > 1, "several").otherwise("ok").alias("status"))
+    """By how many bold elements the source has; those that go on in further paragraphs have no start tag of their own."""
+    every = table(spark, d, "pages").select("page_id", "html", nodes.all_nodes(F.col("html")).alias("nodes"))
+    written = F.filter("nodes", lambda n: (n["tag"] == "b") & nodes.source_of(F.col("html"), n).startswith("<b"))
+    n = F.size(written)
+    return every.select("page_id", F.when(n == 0, "none").when(n > 1, "several").otherwise("ok").alias("status"))
+
+
+@query(
+    """SELECT page_id, CASE WHEN NOT contains(html, '<b>') THEN 'none' WHEN contains(substr(html, instr(html, '<b>') + 3), '<b>') OR contains(split_part(substr(html, instr(html, '<b>')), '</article>', 1), '<p>')
+    THEN 'several' ELSE 'ok' END AS status FROM pages"""
+)
+def page_container_status(spark: SparkSession, d: str) -> DataFrame:
+    """The container rule of list pages over bold elements: those of pages without one and with several fail, each alone.
+    A bold element that isn't closed goes on in each further paragraph, so it is several."""
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("council_id"), "url", F.col("html").alias("content"))
+    _, failures = extract.list_pages(pages, "article b", "*", {})
+    every = pages.select("council_id").join(failures, "council_id", "left")
+    return every.select(F.col("council_id").alias("page_id"), F.coalesce("status", F.lit("ok")).alias("status"))
+
+
+#: Three kinds of sites: a list of links, paragraphs of an article, and an article between what stands around it.
+SITES = {
+    "links": {
+        "container": [("select", "nav > ul")],
+        "row": [("select", "li")],
+        "link": [("select", "a"), ("attr", "href")],
+        "name": [("select", "a"), ("text",)],
+        "note": [("next_sibling", "li"), ("select", "a"), ("attr", "href"), ("split", "/", "-1")],
+        "skip:last": [("select", "a"), ("attr", "href"), ("match", "[,.]$")],
+    },
+    "paragraphs": {
+        "container": [("select", "article")],
+        "row": [("select", "p")],
+        "link": [("previous", "a[href^='/']"), ("attr", "href")],
+        "name": [("text",), ("match", "^.{0,20}"), ("strip",)],
+        "note": [("parent", "body"), ("select", "h1"), ("string",), ("lower",)],
+    },
+    "around": {
+        "container": [("find", "title", "."), ("next", "body")],
+        "row": [("select", "article > h1"), ("parent", "article")],
+        "link": [("previous", "a"), ("attr", "href"), ("before", "./x")],
+        "name": [("select", "h1"), ("text",), ("replace", "e", "E")],
+        "note": [("next_sibling", "footer"), ("contents", "0"), ("string",), ("split", "\u00b7", "1"), ("strip",), ("default", "none")],
+        "skip:advert": [("previous_sibling", "div.ad"), ("find_text", "^Nicht")],
+    },
+}
+_SITE_SQL = "['links', 'paragraphs', 'around'][(page_id % 3)::INT + 1]"
+_LINKS_SQL = "regexp_extract_all(html, '<li><a href=\"([^\"]*)\">', 1)"
+
+
+def _texts_sql(x: str) -> str:
+    return _UNESCAPED.format(x=x).replace("replace(replace(replace(replace(", "replace(replace(replace(replace(replace(replace(").replace("'&amp;', '&')", "'&copy;', '\u00a9'), '&middot;', '\u00b7'), '&amp;', '&')")
+
+
+@query(
+    f"""WITH s AS (SELECT page_id, url, html, {_SITE_SQL} AS site, regexp_extract(url, '^https?://[^/]+', 0) AS host, {_LINKS_SQL} AS h FROM pages),
+    l AS (SELECT page_id, site, host, unnest(h) AS href, unnest(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1)) AS t, unnest(list_append(h[2:], NULL)) AS further FROM s WHERE site = 'links'),
+    p AS (SELECT page_id, site, host, h[-1] AS href, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS head, unnest(string_split({_ARTICLE_SQL}, '<p>')[2:]) AS t FROM s WHERE site = 'paragraphs'),
+    a AS (SELECT page_id, site, host, url, h[-1] AS href, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS head, regexp_extract(html, '<footer>(.*?)</footer>', 1, 's') AS foot, html FROM s WHERE site = 'around')
+    SELECT page_id, site, host || {_UNESCAPED.format(x="href")} AS url, trim({_UNESCAPED.format(x="t")}) AS name, regexp_extract({_UNESCAPED.format(x="further")}, '[^/]*$', 0) AS note,
+      CASE WHEN regexp_matches({_UNESCAPED.format(x="href")}, '[,.]$') THEN 'last' END AS skip FROM l
+    UNION ALL SELECT page_id, site, host || {_UNESCAPED.format(x="href")}, trim(substr(trim({_UNESCAPED.format(x="regexp_replace(t, '<[^>]*>', '', 'g')")}), 1, 20)), lower({_UNESCAPED.format(x="head")}), NULL FROM p
+    UNION ALL SELECT page_id, site, regexp_replace(regexp_extract(url, '^https?://[^?#]*/', 0), '/$', '') || '/x' || {_UNESCAPED.format(x="href")}, replace(trim({_UNESCAPED.format(x="head")}), 'e', 'E'),
+      trim(string_split({_texts_sql("foot")}, '\u00b7')[2]), CASE WHEN regexp_matches(html, '<div class="ad">Nicht') THEN 'advert' END FROM a"""
+)
+def site_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of three kinds of sites in one plan, each by its own rules, which are rows of a table."""
+    site = F.element_at(F.array(*[F.lit(s) for s in SITES]), (F.col("page_id") % 3 + 1).cast("int"))
+    pages = table(spark, d, "pages").select("page_id", site.alias("site"), "url", F.col("html").alias("content"))
+    found = sites.listings(pages, sites.rule_table(spark, SITES))
+    rows = found.select("page_id", "site", F.inline("rows"))
+    return rows.select("page_id", "site", F.col("fields")["link"].alias("url"), F.col("fields")["name"].alias("name"), F.col("fields")["note"].alias("note"), "skip")
+
+
+_PIECES_SQL = f"[trim({_UNESCAPED.format(x='x')}) FOR x IN string_split_regex({_ARTICLE_SQL}, '<[^>]*>')]"
+
+
+@query(
+    f"""SELECT page_id, array_to_string(list_filter({_PIECES_SQL}, lambda t: t <> ''), ' | ') AS spaced, len(list_filter({_PIECES_SQL}, lambda t: t <> '')) AS n_texts,
+    trim({_UNESCAPED.format(x="regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) AS first, len(regexp_extract_all({_ARTICLE_SQL}, '<(p|h1)>')) AS n_contents FROM pages"""
+)
+def page_texts(spark: SparkSession, d: str) -> DataFrame:
+    """All texts of a page's article with a separator, how many there are, the node after its start, and how many it holds."""
+    found = table(spark, d, "pages").select("page_id", nodes.all_nodes(F.col("html")).alias("nodes"))
+    found = found.select("page_id", "nodes", F.explode(F.filter("nodes", lambda n: n["tag"] == "article")).alias("n"))
+    spaced = nodes.text_of(F.col("nodes"), F.col("n"), " | ")
+    first = nodes.text_of(F.col("nodes"), F.col("nodes")[F.col("n.at") + 1])
+    inside = F.filter("nodes", lambda x: (x["at"] > F.col("n.at")) & (x["at"] <= F.col("n.last")) & (x["tag"] == "#text") & (F.trim(x["text"]) != ""))
+    return found.select("page_id", spaced.alias("spaced"), F.size(inside).alias("n_texts"), first.alias("first"), F.size(nodes.contents(F.col("nodes"), F.col("n"))).alias("n_contents"))
+
+
+@query(
+    """SELECT page_id, sha256(o) AS outer_sha256, strlen(split_part(html, o, 1)) AS start, strlen(split_part(html, o, 1)) + strlen(o) AS stop, unnest(regexp_extract_all(o, '<li>.*?</li>')) AS item
+    FROM (SELECT page_id, html, regexp_extract(html, '<nav>.*?</nav>', 0, 's') AS o FROM pages)"""
+)
+def page_sources(spark: SparkSession, d: str) -> DataFrame:
+    """A list's own source and its place in the page's bytes, and the source of each item."""
+    found = table(spark, d, "pages").select("page_id", "html", nodes.all_nodes(F.col("html")).alias("nodes"))
+    found = found.select("page_id", "html", "nodes", F.explode(F.filter("nodes", lambda n: n["tag"] == "nav")).alias("n"))
+    place = nodes.byte_range(F.col("html"), F.col("n"))
+    items = F.filter("nodes", lambda x: (x["tag"] == "li") & (x["at"] > F.col("n.at")) & (x["at"] <= F.col("n.last")))
+    found = found.select("page_id", "html", F.sha2(nodes.source_of(F.col("html"), F.col("n")), 256).alias("outer_sha256"), place["start"].cast("long").alias("start"), place["stop"].cast("long").alias("stop"), F.explode(items).alias("i"))
+    return found.select("page_id", "outer_sha256", "start", "stop", nodes.source_of(F.col("html"), F.col("i")).alias("item"))
+
+
+@query(
+    """SELECT page_id, '<nav>' || chr(10) || ' <ul>' || chr(10) || array_to_string(['  <li>' || chr(10) || '   <a href="' || h[i] || '">' || chr(10) || '    ' || t[i] || chr(10) || '   </a>' || chr(10) || '  </li>' || chr(10)
+      FOR i IN range(1, len(h) + 1)], '') || ' </ul>' || chr(10) || '</nav>' || chr(10) AS pretty
+    FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS h, [trim(x) FOR x IN regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1)] AS t FROM pages)"""
+)
+def page_pretty(spark: SparkSession, d: str) -> DataFrame:
+    """A list's markup as the raw payload of a person is stored."""
+    return table(spark, d, "pages").select("page_id", F.explode(nodes.pretty(F.col("html"), "nav")).alias("pretty"))
 
 
 @query("SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), ''), url) AS page, regexp_extract(regexp_replace(url, '/+$', ''), '[^/]*$', 0) AS last FROM pages")
