@@ -88,6 +88,39 @@ def below(n: Column, o: Column) -> Column:
     return (n["pre"] > o["pre"]) & (n["pre"] <= o["end"])
 
 
+#: How a node stands to one of the step before, by combinator.
+_STANDS = {
+    "": below,
+    ">": lambda n, o: n["parent"] == o["pre"],
+    "+": lambda n, o: n["parent"].eqNullSafe(o["parent"]) & (n["sib_index"] == o["sib_index"] + 1),
+}
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, not again for each element that ``use`` goes through."""
+    return F.transform(F.array(value), use)[0]
+
+
+def matched(tree: Column, css: str) -> Column:
+    """The nodes of a page's array (``nodes.parsed``) that a selector names, in document order, each once. For an array that is
+    at hand: it compares pairs of nodes, where ``nodes.found`` looks at each node of a page once."""
+
+    def named(all_nodes: Column, simple: str) -> Column:
+        return F.filter(all_nodes, lambda n: predicate(simple, n.getField))
+
+    def further(all_nodes: Column, level: Column, sign: str, simple: str) -> Column:
+        return bound(level, lambda lv: F.filter(named(all_nodes, simple), lambda n: F.exists(lv, lambda o: _STANDS[sign](n, o))))
+
+    def path(all_nodes: Column, steps: list[tuple[str, str]]) -> Column:
+        return reduce(lambda level, step: further(all_nodes, level, *step), steps[1:], named(all_nodes, steps[0][1]))
+
+    paths = parts(css)
+    if len(paths) == 1:
+        return bound(tree, lambda t: path(t, paths[0]))
+    places = lambda t: F.concat(*[F.transform(path(t, steps), lambda n: n["pre"]) for steps in paths])
+    return bound(tree, lambda t: bound(places(t), lambda at: F.filter(t, lambda n: F.array_contains(at, n["pre"]))))
+
+
 def valued(rows: DataFrame, node: str, value: Column, name: str) -> DataFrame:
     """``rows`` with ``name`` in place of ``node``, a column that has a node: ``value``, a Column of node fields; null
     where there is no node."""

@@ -6,9 +6,7 @@ A site with rules of its own passes Columns: what a field is, what to skip.
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +16,8 @@ from moothall.functions import links, text, values
 from moothall.operators import nodes, people, selectors
 from moothall.plans import sites
 from moothall.plans.sites import PAGE_NODES
+from moothall.sources import fetch
+from moothall.sources.shared import put_aside
 
 
 def ward_listing(payloads: DataFrame, skip: dict[str, Column] | None = None) -> DataFrame:
@@ -44,12 +44,12 @@ def ward_listing(payloads: DataFrame, skip: dict[str, Column] | None = None) ->
 
 
 def person_blocks(
-    pages: DataFrame, details: DataFrame | None = None, division_label: str = "Ward:", block: str = "PE_People_PersonBlock", party: list[sites.Written] | None = None
+    pages: DataFrame, details: DataFrame | None = None, division_label: str = "Ward:", block: str = "PE_People_PersonBlock", party: list[sites.Written] | tuple[str, Column] | None = None
 ) -> DataFrame:
     """Office-holders from list pages of person blocks: link, name, the text after the ward's label, and the title of the
     last picture as party. Columns of ``pages``: council_id, content; a council may have several, in the order of ``n`` or
     else ``url``, if there are such columns. ``details`` (url, content) adds e-mails. A site that names parties otherwise
-    gives ``party``, a chain of steps from the block."""
+    gives ``party``, a chain of steps from the block, or a selector and a Column of the node."""
     label = ("find_text", rf"^\s*{re.escape(division_label)}")
     rules = {
         "row": [("select", f"div.{block}")],
@@ -57,11 +57,17 @@ def person_blocks(
         "name": [("select", "div.NameLink"), ("text",)],
         "inline": [label, ("text",), ("replace", division_label), ("strip",)],
         "beside": [label, ("next_text",), ("text",)],
-        "party": party or [("last", "img"), ("attr", "title")],
+        "party": party if isinstance(party, list) else [("last", "img"), ("attr", "title")],
     }
     order = next((c for c in ("n", "url") if c in pages.columns), None)
     own = pages.select("council_id", F.lit("blocks").alias("site"), F.lit("").alias("url"), "content", (F.col(order) if order else F.xxhash64("content")).alias("__page"))
-    found = sites.listings(own, sites.rule_table(pages.sparkSession, {"blocks": rules})).select("council_id", "__page", F.inline("rows"))
+    found = sites.listings(own, sites.rule_table(pages.sparkSession, {"blocks": rules}))
+    if isinstance(party, tuple):
+        said = nodes.listed(F.col("content"), "html", f"div.{block}", {"party": party[0]})["rows"]
+        found = found.select("council_id", "__page", F.inline(F.arrays_zip("rows", F.transform(said, lambda r: r["f_party"]).alias("__party"))))
+        found = selectors.valued(found.select("council_id", "__page", "rows.*", "__party"), "__party", party[1], "__said")
+    else:
+        found = found.select("council_id", "__page", F.inline("rows"))
     # rows of a council are as many as its people
     page = F.dense_rank().over(Window.partitionBy("council_id").orderBy("__page")) - 1
     value = lambda name: F.col("fields")[name]
@@ -71,7 +77,7 @@ def person_blocks(
         value("link").alias("url"),
         links.segment_after(value("link"), "id").alias("identifier"),
         value("name").alias("name"),
-        text.strip(F.replace(value("party"), F.lit("(logo)"), F.lit(""))).alias("party"),
+        text.strip(F.replace(F.col("__said") if isinstance(party, tuple) else value("party"), F.lit("(logo)"), F.lit(""))).alias("party"),
         text.first_of(value("inline"), value("beside")).alias("division"),
     )
     if details is not None:
@@ -129,25 +135,16 @@ def linked_pages(pages: DataFrame, first: DataFrame) -> DataFrame:
     Steps double: once the pages less than m steps away and each page's m-th next page are known, a join gives those less
     than 2m steps away. So a chain of n pages takes log2(n) rounds, which end when one adds nothing."""
     urls = pages.select("url").distinct()
-    step = _checkpointed(pages.select("url", F.col("next_url").alias("to")).distinct().join(urls.select(F.col("url").alias("to")), "to", "left_semi"))
+    step = put_aside(pages.select("url", F.col("next_url").alias("to")).distinct().join(urls.select(F.col("url").alias("to")), "to", "left_semi"))
     met = first.select("council_id", "url").distinct().join(urls, "url", "left_semi").select("council_id", "url", F.lit(0).alias("n"))
-    met, m, known = _checkpointed(met), 1, 0
+    met, m, known = put_aside(met), 1, 0
     while known < (count := met.count()):
         further = met.join(step, "url").select("council_id", F.col("to").alias("url"), (F.col("n") + m).alias("n"))
-        met, m, known = _checkpointed(met.unionByName(further).groupBy("council_id", "url").agg(F.min("n").alias("n"))), m * 2, count
-        step = _checkpointed(step.join(step.select(F.col("url").alias("to"), F.col("to").alias("further")), "to").select("url", F.col("further").alias("to")).distinct())
+        met, m, known = put_aside(met.unionByName(further).groupBy("council_id", "url").agg(F.min("n").alias("n"))), m * 2, count
+        step = put_aside(step.join(step.select(F.col("url").alias("to"), F.col("to").alias("further")), "to").select("url", F.col("further").alias("to")).distinct())
     return met.join(pages.select("url", "content"), "url").select("council_id", "n", "url", "content")
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut; the shared folder is the cluster's, and set only where none is named."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "moothall-checkpoints"))
-    return df.checkpoint(eager=True)
-
-
 def from_json(payloads: DataFrame, array: str, item: str, fields: dict[str, str], defaults: dict[str, str] | None = None) -> DataFrame:
     """Office-holders from JSON answers (council_id, content): ``array`` is the path of the list, ``item`` the schema of an
     entry, fields are SQL expressions over ``item``; empty values take their default."""
@@ -159,6 +156,24 @@ def from_json(payloads: DataFrame, array: str, item: str, fields: dict[str, str]
     return out.withColumn("skip", F.lit(None).cast("string"))
 
 
+def json_details(rows: DataFrame, details: DataFrame, item: str, fields: dict[str, str]) -> DataFrame:
+    """``rows`` (with url) with fields from a JSON answer for each (``details``: url, content). ``item`` is the answer's schema,
+    fields are SQL expressions over ``item``."""
+    own = details.select(F.col("url").alias("__url"), F.from_json("content", item).alias("item"))
+    own = own.select("__url", *[F.expr(e).cast("string").alias(n) for n, e in fields.items()])
+    return rows.drop(*fields).join(own, F.col("url") == F.col("__url"), "left").drop("__url")
+
+
+def from_json_with_details(councils: DataFrame, list_path: str, array: str, entry: str, detail: Column, item: str, fields: dict[str, str], **options) -> DataFrame:
+    """Office-holders of JSON sites (council_id, base_url) whose list names people and whose details are asked for one by one:
+    ``detail`` is the address of a person's answer, a Column over ``base_url`` and ``entry``. Both fetches are Spark jobs."""
+    lists = fetch.with_fetched(councils.withColumn("url", F.concat("base_url", F.lit(list_path))), **options)
+    entries = lists.withColumn("entry", F.from_json(F.get_json_object("content", array), f"array<{entry}>"))
+    rows = entries.select("council_id", "base_url", F.posexplode("entry").alias("pos", "entry")).withColumn("url", detail)
+    answers = fetch.fetched(rows, **options)
+    return json_details(rows, answers.where("status = 200"), item, fields).drop("entry", "base_url").withColumn("skip", F.lit(None).cast("string"))
+
+
 def faces(documents: DataFrame) -> DataFrame:
     """What a face detector said of a picture's first face, flat; ``documents`` have FaceDetails."""
     f = F.col("FaceDetails")[0]
