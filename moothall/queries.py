@@ -7,7 +7,6 @@ pages.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from moothall.functions import codecs, links, text, values
 from moothall.operators import axes, checks, merge, nodes, people, registry, runs, selectors
 from moothall.plans import extract, sites
-from moothall.sources import readers, writers
+from moothall.sources import readers, shared, writers
 from moothall.sources.readers import table
 from moothall.streaming import logs
 
@@ -678,15 +677,27 @@ def log_batches(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("stream", "batch").agg(F.count("*").alias("n"), F.sum(F.octet_length("message") + logs.EXTRA).alias("bytes"))
 
 
+@query(
+    """WITH RECURSIVE e AS (SELECT 's' || (user_id % 4) AS stream, strlen(props) + 26 AS size,
+      (sum(strlen(props) + 26) OVER (PARTITION BY user_id % 4 ORDER BY epoch_ms(ts), props ROWS UNBOUNDED PRECEDING))::BIGINT AS upto FROM events WHERE props <> ''),
+    b AS (SELECT stream, 0::BIGINT AS n, 0::BIGINT AS start FROM e GROUP BY stream
+      UNION ALL SELECT stream, n + 1, x FROM (SELECT b.stream, b.n, min(e.upto - e.size) AS x FROM b JOIN e ON e.stream = b.stream AND e.upto - e.size >= b.start + 60000 GROUP BY b.stream, b.n))
+    SELECT e.stream AS stream, n AS batch, count(*) AS events, sum(size)::BIGINT AS bytes FROM e ASOF JOIN b ON e.stream = b.stream AND e.upto - e.size >= b.start GROUP BY ALL"""
+)
+def log_flushes(spark: SparkSession, d: str) -> DataFrame:
+    """Events as a log writer's batches: each is written as soon as it has 60,000 bytes or more."""
+    rows = logs.flushed(_event_lines(spark, d), 60_000)
+    return rows.groupBy("stream", "batch").agg(F.count("*").alias("events"), F.sum("size").alias("bytes"))
+
+
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
 def micro_batch_events(spark: SparkSession, d: str) -> DataFrame:
     """Events through a file stream, written by micro-batches into the shared folder and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="moothall-")
-    name = f"{shared}/micro-batches-{uuid.uuid4().hex}"
+    name = f"{shared.folder(spark)}/micro-batches-{uuid.uuid4().hex}"
     source = f"{d}/events.parquet"
     schema = spark.read.parquet(source).schema
-    # a stream reads folders: the table is named by a pattern of its own
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events*.parquet")
+    # a stream reads folders and patterns: this one names the table's file and no other
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/event[s].parquet")
     logs.write_batches(stream, f"{name}/rows", f"{name}/state", order="ts").awaitTermination()
     rows = spark.read.parquet(f"{name}/rows")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
