@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -15,16 +17,39 @@ TITLES = ("Depute Provost ", "Councillor ", "Provost ", "Bailie ", "Cllr. ", "Cl
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
-def _unaccented() -> tuple[str, str]:
-    """Latin letters with marks and the ASCII letters that they come from, by Unicode's decompositions."""
-    plain = {chr(i): unicodedata.normalize("NFKD", chr(i))[0] for i in range(0xC0, 0x250)}
-    plain = {a: b for a, b in plain.items() if a != b and b.isascii() and b.isalpha()}
-    return "".join(plain), "".join(plain.values())
+# Letters of other scripts in Latin ones, and Latin letters that stand for two.
+_CYRILLIC = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґў", "a b v g d e io zh z i i k l m n o p r s t u f kh ts ch sh shch . y . e iu ia i yi ye g u".split()))
+_GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split()))
+_LATIN = {"ß": "ss", "ẞ": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d", "ı": "i", "ĸ": "k", "ŋ": "ng", "ĳ": "ij", "ƿ": "w", "ȝ": "gh"}
+_KANA = {"si": "shi", "ti": "chi", "tu": "tsu", "hu": "fu", "zi": "ji", "di": "ji", "du": "zu", "n": "n"}
+
+
+def _romanised() -> dict[str, str]:
+    """Lower-case letters and the ASCII letters that stand for them: a letter with marks or strokes by its base letter, which
+    Unicode's decompositions and names say, a kana by its name, others as above."""
+    out = {k: v.strip(".") for k, v in (_CYRILLIC | _GREEK | _LATIN).items()}
+    for i in (*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x1F00), *range(0x3041, 0x30FF)):
+        c = chr(i).lower()
+        if len(c) != 1 or c in out or not c.isalpha():
+            continue
+        name, plain = unicodedata.name(c, ""), unicodedata.normalize("NFKD", c)[0]
+        latin = re.match(r"LATIN SMALL LETTER ([A-Z]) WITH", name)
+        kana = re.match(r"(?:HIRAGANA|KATAKANA) LETTER (?:SMALL )?([A-Z]+)$", name)
+        if plain.isascii() and plain.isalpha():
+            out[c] = plain
+        elif plain in out:
+            out[c] = out[plain]
+        elif latin:
+            out[c] = latin[1].lower()
+        elif kana:
+            out[c] = _KANA.get(kana[1].lower(), kana[1].lower())
+    return out
 
 
-_MARKED, _PLAIN = _unaccented()
-#: Letters that stand for two.
-_DOUBLE = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "TH"}
+_ROMANISED = _romanised()
+_MARKED = "".join(k for k, v in _ROMANISED.items() if len(v) == 1)
+_PLAIN = "".join(_ROMANISED[k] for k in _MARKED)
+_LONGER = {k: v for k, v in _ROMANISED.items() if len(v) != 1}
 
 
 def strip(x: Column) -> Column:
@@ -47,11 +72,13 @@ def first_of(*xs: Column) -> Column:
 
 
 def slugify(x: Column) -> Column:
-    """Letters without marks, lower case, all else as single hyphens, none at the ends."""
-    for a, b in _DOUBLE.items():
-        x = F.replace(x, F.lit(a), F.lit(b))
-    x = F.lower(F.translate(x, _MARKED, _PLAIN))
-    return F.trim(F.regexp_replace(x, "[^a-z0-9]+", "-"), F.lit("-"))
+    """Letters in ASCII and lower case, all else as single hyphens, none at the ends. Letters that there is no rule for (such
+    as Chinese ones) become ``u`` and their code point, so that different names don't get the same key."""
+    longer = F.from_json(F.lit(json.dumps(_LONGER)), "map<string,string>")
+    code = lambda c: F.concat(F.lit("u"), F.lower(F.hex(F.ascii(c))))
+    letter = lambda c: F.coalesce(F.try_element_at(longer, c), F.when(c.rlike(r"[^\x00-\x7F]") & c.rlike(r"\p{L}"), code(c)), c)
+    beyond = F.array_join(F.transform(F.split(F.regexp_replace(F.translate(F.lower(x), _MARKED, _PLAIN), r"\p{M}", ""), ""), letter), "")
+    return F.trim(F.regexp_replace(F.when(x.rlike(r"[^\x00-\x7F]"), beyond).otherwise(F.lower(x)), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 def without_titles(x: Column) -> Column:

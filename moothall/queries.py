@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moothall.functions import codecs, links, text, values
-from moothall.operators import axes, checks, merge, nodes, people, registry, runs, selectors
+from moothall.operators import axes, checks, mentions, merge, nodes, people, registry, runs, selectors
 from moothall.plans import extract, sites
 from moothall.sources import readers, shared, writers
 from moothall.sources.readers import table
@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 AS_OF = "2024-01-20"
+_UNESCAPED = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -291,6 +292,148 @@ def expired_reports(spark: SparkSession, d: str) -> DataFrame:
     return runs.expired(reports, reports.where("false").select("key", "execution_id"))
 
 
+@query(
+    """WITH r AS (SELECT event_id, user_id, row_number() OVER (ORDER BY ts DESC, event_id) > 10 AS old FROM events WHERE event_type = 'purchase')
+    SELECT 'r' || event_id AS key FROM r WHERE old
+    UNION ALL SELECT 'l' || event_id FROM events WHERE event_type = 'error' AND user_id IN (SELECT user_id FROM r WHERE old)"""
+)
+def expired_with_logs(spark: SparkSession, d: str) -> DataFrame:
+    """Purchases as reports of their user's execution, errors as its logs: what goes with all reports but the newest ten."""
+    rows = table(spark, d, "events")
+    # a key is a number and a letter; reports that are equally new go by number
+    named = lambda letter: F.struct("event_id", F.lit(letter).alias("letter")).alias("key")
+    reports = rows.where("event_type = 'purchase'").select(named("r"), F.col("ts").alias("last_modified"), F.col("user_id").alias("execution_id"))
+    kept_logs = rows.where("event_type = 'error'").select(named("l"), F.col("user_id").alias("execution_id"))
+    return runs.expired(reports, kept_logs).select(F.concat("key.letter", "key.event_id").alias("key"))
+
+
+_PARENTS = ("ModGovCouncillorScraper", "CMISCouncillorScraper", "HTMLCouncillorScraper", "JSONCouncillorScraper")
+_SYSTEMS = ("ModernGov", "CMIS", "Custom HTML", "")
+
+
+def _of(names: tuple[str, ...], n: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in names]), (n % len(names) + 1).cast("int"))
+
+
+_CHECKED_SQL = f"""SELECT c_custkey::VARCHAR AS council_id, c_custkey % 11 <> 0 AS source, c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AS read, {list(_PARENTS)}[(c_nationkey % 4)::INT + 1] AS parent,
+  ['ModernGov', 'CMIS', 'Custom HTML', NULL][(c_nationkey % 4)::INT + 1] AS expected, nullif({list(_SYSTEMS)}[(c_custkey % 4)::INT + 1], '') AS cms, c_custkey % 5 = 0 AS no_base, c_custkey % 7 = 0 AS off, c_custkey % 3 = 0 AS todo, c_custkey % 17 = 0 AS fixme, c_custkey % 2 = 0 AS methods FROM customer"""
+
+
+def _said_sql(**messages: tuple[str, str]) -> str:
+    each = ", ".join(f"CASE WHEN {c} THEN {m} END" for m, c in messages.values())
+    return f"array_to_string(list_filter([{each}], lambda x: x IS NOT NULL), '; ')"
+
+
+_WARNINGS_SQL = _said_sql(
+    todo=("'Contains TODO comments'", "read AND todo"),
+    fixme=("'Contains FIXME comments'", "read AND fixme"),
+    off=("'Scraper is disabled'", "read AND off"),
+    methods=("'No public methods found'", "read AND NOT methods AND parent NOT IN ('ModGovCouncillorScraper', 'CMISCouncillorScraper')"),
+    system=("replace(replace(replace('CMS type mismatch: scraper uses \"P\" (suggests \"E\") but metadata has \"M\"', '\"P\"', chr(39) || parent || chr(39)), '\"E\"', chr(39) || expected || chr(39)), '\"M\"', chr(39) || cms || chr(39))", "read AND cms IS NOT NULL AND expected <> cms"),
+)
+_ERRORS_SQL = _said_sql(
+    none=("'No councillors.py file found'", "NOT source"),
+    unread=("'Could not load scraper class information'", "source AND NOT read"),
+    base=("'No base_url found in metadata. Please set services.councillors.base_url in metadata.json'", "read AND NOT off AND no_base"),
+)
+_SUGGESTIONS_SQL = _said_sql(
+    cms=("'Consider setting cms_type'", "read AND cms IS NULL"),
+    base=("'Consider setting base_url'", "read AND no_base"),
+    off=("'Scraper is disabled - base_url validation skipped'", "read AND off"),
+)
+
+
+@query(f"SELECT council_id, read AS valid, {_WARNINGS_SQL} AS warnings, {_ERRORS_SQL} AS errors, {_SUGGESTIONS_SQL} AS suggestions FROM ({_CHECKED_SQL})")
+def extractor_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as councils with sources and metadata that lack this and that, and what the checks say of each."""
+    rows, key = table(spark, d, "customer"), F.col("c_custkey")
+    nothing = F.lit(None).cast("string")
+    service = F.struct(_of(_SYSTEMS, key).alias("cms_type"), nothing.alias("cms_version"), F.when(key % 5 == 0, "").otherwise("https://example.org").alias("base_url"), nothing.alias("notes"))
+    part = lambda n, said: F.when(key % n == 0, F.lit(said)).otherwise("")
+    head = F.when(key % 13 == 0, "nothing here").otherwise(F.concat(F.lit("class Scraper("), _of(_PARENTS, F.col("c_nationkey")), F.lit("):\n    x = 1\n")))
+    source = F.concat(head, part(7, "    disabled = True\n"), part(3, "    # todo: more\n"), part(17, "    # FixMe\n"), part(2, "    def get(self):\n        pass\n"), F.lit("    def _own(self):\n        pass\n"))
+    councils = rows.select(key.cast("string").alias("council_id"), service.alias("service"))
+    facts = readers.source_facts(rows.where(key % 11 != 0).select(key.cast("string").alias("council_id"), source.alias("content")))
+    found = checks.validated(councils, facts)
+    return found.select("council_id", "valid", *[F.array_join(c, "; ").alias(c) for c in ("warnings", "errors", "suggestions")])
+
+
+@query(
+    """SELECT c_custkey::VARCHAR AS council_id, i AS pos, CASE WHEN c_custkey % 3 = 1 AND i = 1 THEN 'Independent' ELSE c_mktsegment END AS party, c_name || i AS name, NULL::VARCHAR AS skip
+    FROM customer, (SELECT unnest([0, 1]) AS i) WHERE c_custkey % 4 <> 0 OR i = 0"""
+)
+def json_people_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as councils whose JSON answers list one or two people, some without a party."""
+    rows = table(spark, d, "customer")
+    party = F.when(F.col("c_custkey") % 3 == 1, F.lit("")).otherwise(F.col("c_mktsegment"))
+    person = lambda i, p: F.struct(F.struct(F.concat("c_name", F.lit(str(i))).alias("first")).alias("n"), p.alias("p"))
+    one, other = person(0, F.col("c_mktsegment")), person(1, party)
+    entries = F.when(F.col("c_custkey") % 4 == 0, F.array(one)).otherwise(F.array(one, other))
+    payloads = rows.select(F.col("c_custkey").cast("string").alias("council_id"), F.to_json(F.struct(F.struct(entries.alias("people")).alias("found"))).alias("content"))
+    return extract.from_json(payloads, "$.found.people", "struct<n:struct<first:string>,p:string>", {"name": "item.n.first", "party": "item.p"}, {"party": "Independent"})
+
+
+@query(
+    f"""SELECT page_id::VARCHAR AS url, page_id % 5 AS council, CASE WHEN page_id % 3 > 0 THEN trim({_UNESCAPED.format(x="regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) END AS name,
+    CASE WHEN page_id % 3 > 0 THEN {_UNESCAPED.format(x="regexp_extract(html, '<li><a href=.([^>]*).>', 1)")} END AS first_link FROM pages"""
+)
+def detail_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of lists with fields from their detail pages, a third of which weren't captured."""
+    pages = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("url"), (F.col("page_id") % 5).alias("council"), F.col("html").alias("content"))
+    details = pages.where(F.col("url").cast("long") % 3 > 0)
+    fields = {"name": ("article h1", F.col("text_strip")), "first_link": ("nav li:first-child a", F.col("attrs")["href"])}
+    return extract.with_details(pages.select("url", "council"), details.select("url", "content"), fields)
+
+
+@query(
+    """SELECT c_custkey::VARCHAR AS council_id, 'https://x.org/id/' || c_custkey || '/' || i AS url, c_custkey::VARCHAR AS identifier, CASE i WHEN 0 THEN c_name ELSE 'Vacancy in ' || c_mktsegment END AS name, trim(c_mktsegment) AS party,
+    'Ward ' || c_nationkey AS division, CASE WHEN i = 0 AND c_custkey % 2 = 0 THEN 'm' || c_custkey || '@x.org' END AS email, CASE i WHEN 1 THEN 'vacant' END AS skip FROM customer, (SELECT unnest([0, 1]) AS i)"""
+)
+def person_block_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as list pages of two person blocks each, half of them with a detail page for the first."""
+    rows, key = table(spark, d, "customer"), F.col("c_custkey").cast("string")
+
+    def block(i: int, name: Column, ward: Column) -> Column:
+        head = F.concat(F.lit('<div class="PE_People_PersonBlock x"><a href="https://x.org/id/'), key, F.lit(f'/{i}"><div class="NameLink"> '), name)
+        return F.concat(head, F.lit("</div></a><p><b>Ward:</b>"), ward, F.lit('</p><img title="photo"><img title="'), F.col("c_mktsegment"), F.lit(' (logo)"></div>'))
+
+    ward = F.concat(F.lit("Ward "), F.col("c_nationkey"))
+    content = F.concat(block(0, F.col("c_name"), F.concat(F.lit(" "), ward)), block(1, F.concat(F.lit("Vacancy in "), "c_mktsegment"), F.concat(F.lit("<span>"), ward, F.lit("</span>"))))
+    pages = rows.select(key.alias("council_id"), content.alias("content"))
+    details = rows.where("c_custkey % 2 = 0").select(F.concat(F.lit("https://x.org/id/"), key, F.lit("/0")).alias("url"), F.concat(F.lit("<p class='Email'> m"), key, F.lit("@x.org</p>")).alias("content"))
+    return extract.person_blocks(pages, details).drop("pos")
+
+
+@query(
+    """SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender, (user_id % 50)::INT AS age_low, (user_id % 50)::INT + 8 AS age_high, value > 20 AS smile, event_type = 'view' AS glasses, event_type = 'click' AS beard, value > 70 AS happy
+    FROM events"""
+)
+def face_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Events as what a face detector says, flat."""
+    said = lambda c, name: F.struct(c.alias("Value")).alias(name)
+    age = (F.col("user_id") % 50).cast("int")
+    moods = F.array(F.struct(F.lit("CALM").alias("Type"), F.lit(99.0).alias("Confidence")), F.struct(F.lit("HAPPY").alias("Type"), F.col("value").alias("Confidence")))
+    face = F.struct(
+        said(F.when(F.col("user_id") % 2 == 0, "Female").otherwise("Male"), "Gender"), F.struct(age.alias("Low"), (age + 8).alias("High")).alias("AgeRange"), said(F.col("value") > 20, "Smile"),
+        said(F.col("event_type") == "view", "Eyeglasses"), said(F.col("event_type") == "click", "Beard"), moods.alias("Emotions"),
+    )
+    return extract.faces(table(spark, d, "events").select("event_id", F.array(face).alias("FaceDetails")))
+
+
+@query(
+    """WITH f AS (SELECT 'N' || n_nationkey || '-' || (CASE WHEN n_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END) || '-' || lower(n_name) AS folder, n_nationkey AS n, lower(n_name) AS name FROM nation)
+    SELECT 'n' || n AS code, folder, 'ok' AS status FROM f UNION ALL SELECT name, folder, 'ok' FROM f UNION ALL SELECT 'even', NULL, 'ambiguous' UNION ALL SELECT 'XX', NULL, 'unknown'"""
+)
+def resolved_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Nations as folders, met by their number, by their name, and by words that several or none have."""
+    n = F.col("n_nationkey")
+    parity = F.when(n % 2 == 0, "even").otherwise("odd")
+    rows = table(spark, d, "nation").select(F.concat(F.lit("n"), n).alias("number"), F.lower("n_name").alias("name"), F.concat_ws("-", F.concat(F.lit("N"), n), parity, F.lower("n_name")).alias("folder"), n.alias("n"))
+    own = rows.select(F.explode(F.array("number", "name")).alias("code"))
+    more = rows.where("n = 0").select(F.explode(F.array(F.lit("even"), F.lit("XX"))).alias("code"))
+    return registry.resolved(own.unionByName(more), rows.select("folder"))
+
+
 @query(
     """SELECT event_id, last_value(CASE WHEN event_type = 'error' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS error_before,
     first_value(CASE WHEN event_type = 'error' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS error_after
@@ -403,7 +546,6 @@ def _first(name: str) -> Column:
     return F.explode(F.slice(name, 1, 1)).alias("n")
 
 
-_UNESCAPED = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
 
 
 @query(f"SELECT page_id, trim({_UNESCAPED.format(x='regexp_extract(html, $re$<title>(.*?)</title>$re$, 1, $o$s$o$)')}) AS title FROM pages")
@@ -591,6 +733,27 @@ def page_pretty(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.explode(nodes.pretty(F.col("html"), "nav")).alias("pretty"))
 
 
+_SLUG_SQL = "trim(regexp_replace(lower(strip_accents(replace(replace({x}, 'ß', 'ss'), 'ẞ', 'SS'))), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(
+    f"""WITH p AS (SELECT page_id, substr(html, instr(html, '<h1>')) AS html, {_UNESCAPED.format(x="regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS head FROM pages),
+    n AS (SELECT page_id, html, trim(head) AS heading, array_to_string(string_split({_SLUG_SQL.format(x="head")}, ' ')[1:2], ' ') AS name FROM p),
+    t AS (SELECT page_id, name, heading, {_SLUG_SQL.format(x=_UNESCAPED.format(x="x"))} AS said FROM (SELECT *, unnest(string_split_regex(html, '<[^>]*>')) AS x FROM n)),
+    c AS (SELECT page_id, name, heading, len(list_filter(range(1, len(w) + 1), lambda i: array_to_string(w[i:i + k - 1], ' ') = name)) AS places
+      FROM (SELECT *, string_split(said, ' ') AS w, len(string_split(name, ' ')) AS k FROM t WHERE name <> ''))
+    SELECT page_id, name, heading, places, count(*) AS texts FROM c WHERE places > 0 GROUP BY ALL"""
+)
+def page_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """Where the first two words of a page's heading stand below that heading, by how often a text has them."""
+    pages = table(spark, d, "pages").select("page_id", "html", nodes.found(F.col("html"), h="h1")["h"].alias("h"))
+    name = F.array_join(F.slice(mentions.words(F.get("h", F.lit(0))["text_strip"]), 1, 2), " ")
+    names = pages.select("page_id", name.alias("name"))
+    found = mentions.mentions(names, pages, "page_id", "name", "html").where("heading IS NOT NULL")
+    each = found.groupBy("page_id", "name", "heading", "at").agg(F.count("*").alias("places"))
+    return each.groupBy("page_id", "name", "heading", "places").agg(F.count("*").alias("texts"))
+
+
 @query("SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), ''), url) AS page, regexp_extract(regexp_replace(url, '/+$', ''), '[^/]*$', 0) AS last FROM pages")
 def url_query_param(spark: SparkSession, d: str) -> DataFrame:
     url = F.col("url")
