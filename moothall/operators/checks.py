@@ -57,6 +57,19 @@ def validated(councils: DataFrame, facts: DataFrame) -> DataFrame:
     return both.select("council_id", read.alias("valid"), warnings.alias("warnings"), errors.alias("errors"), suggestions.alias("suggestions"))
 
 
+# What an extractor's class may be derived from.
+BASES = ("BaseCouncillorScraper", "HTMLCouncillorScraper", "PagedHTMLCouncillorScraper", "ModGovCouncillorScraper", "CMISCouncillorScraper", "JSONCouncillorScraper")
+
+
+def loaded(codes: DataFrame, facts: DataFrame, bases: tuple[str, ...] = BASES) -> DataFrame:
+    """(council_id, status) of each code's extractor: ``ok``, ``missing`` without a source, ``wrong base`` where its class isn't
+    derived from one of ``bases`` or there is none."""
+    own = facts.select(F.col("council_id").alias("__id"), "parent_class", F.lit(True).alias("there"))
+    both = codes.join(own, F.col("council_id") == F.col("__id"), "left")
+    right = F.coalesce(F.col("parent_class").isin(*bases), F.lit(False))
+    return both.select("council_id", F.when(F.col("there").isNull(), "missing").when(right, "ok").otherwise("wrong base").alias("status"))
+
+
 #: What every extractor's class must state.
 CONTRACT = ("service_name", "scraper_object_type")
 

@@ -9,7 +9,8 @@ Fields with a meaning: ``container`` (one is expected; with arg ``first`` the fi
 first step names inside the container; further steps lead from each to the row), ``link`` and ``next`` (addresses, made
 absolute), ``skip:<reason>`` (the row is marked with the first reason whose chain gives anything). All others are values.
 
-Steps on nodes: select, last, find (arg: a pattern for the element's only text), find_text, next, previous, parent,
+Steps on nodes: select, last, find (arg: a pattern for the element's only text), having and lacking (arg: an attribute, other: a
+pattern that it matches or doesn't), find_text, next, previous, parent,
 next_sibling, previous_sibling (with a selector), next_node, next_text (the next text
 that isn't blank), contents (arg: which). From nodes to texts: text (arg: separator,
 other: raw keeps white space), string, attr, outer, pretty. On texts: replace, strip, split (other: which part), match (the
@@ -35,7 +36,7 @@ from moothall.operators import matching, selectors, tree
 RULE = "site string, field string, step int, op string, css array<array<struct<sign:string,tests:array<struct<on:string,name:string,op:string,value:string>>>>>, arg string, other string"
 #: More nodes than a page has: positions of a page's rows go on from those of the page before.
 PAGE_NODES = 1 << 32
-_CSS = frozenset("select last find next previous parent next_sibling previous_sibling".split())
+_CSS = frozenset("select last find having lacking next previous parent next_sibling previous_sibling".split())
 _NODE = _CSS | {"find_text", "next_node", "next_text", "contents"}
 _TO_TEXT = frozenset("text string attr outer pretty".split())
 _TEXT = frozenset("replace strip split match lower before absolute default".split())
@@ -68,6 +69,17 @@ def programs(rules: DataFrame) -> DataFrame:
     return rules.groupBy("site").agg(F.to_json(F.array_sort(F.collect_list(step), lambda a, b: F.coalesce(_order(a, b, "field"), _order(a, b, "step"), F.lit(0)))).alias("program"))
 
 
+def programs_of(sites: Mapping[str, Mapping[str, Sequence[Written]]]) -> dict[str, str]:
+    """The same without Spark, for trying rules on a page."""
+    named = ("site", "field", "step", "op", "css", "arg", "other")
+
+    def as_row(row: tuple) -> dict:
+        css = row[4] and [[{"sign": sign, "tests": [dict(zip(("on", "name", "op", "value"), t)) for t in tests]} for sign, tests in path] for path in row[4]]
+        return dict(zip(named, row)) | {"css": css}
+
+    return {site: json.dumps([as_row(r) for r in rule_rows(site, rules)]) for site, rules in sites.items()}
+
+
 def _order(a, b, name: str):
     return F.when(a[name] < b[name], -1).when(a[name] > b[name], 1)
 
@@ -83,8 +95,9 @@ class Site:
             if step.get("css") is not None:
                 step["key"] = f"{step['field']}\0{step['step']}"
                 css[step["key"]] = [[(s["sign"], [(t["on"], t["name"], t["op"], t["value"]) for t in s["tests"]]) for s in path] for path in step["css"]]
-            if step["op"] in ("find", "find_text", "match") and step.get("arg") is not None:
-                step["pattern"] = re.compile(step["arg"])
+            pattern = step.get("other" if step["op"] in ("having", "lacking") else "arg")
+            if step["op"] in ("find", "find_text", "match", "having", "lacking") and pattern is not None:
+                step["pattern"] = re.compile(pattern)
         self.matching = matching.Program(css)
         self.skips = [f for f in self.chains if f.startswith("skip:")]
         self.values = [f for f in self.chains if f not in ("container", "row", "next") and f not in self.skips]
@@ -145,6 +158,9 @@ class Run:
             return _nth(matching.below(page, found, i), -1)
         if op == "find":
             return next((k for k in matching.below(page, found, i) if step["pattern"].search(page.string(k) or "")), None)
+        if op in ("having", "lacking"):
+            said = lambda k: arg in page.attrs[k] and step["pattern"].search(page.attrs[k][arg]) is not None
+            return next((k for k in matching.below(page, found, i) if said(k) == (op == "having")), None)
         if op == "find_text":
             return next((k for k in matching.below(page, page.texts, i) if step["pattern"].search(page.text[k])), None)
         if op == "next":

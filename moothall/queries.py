@@ -442,9 +442,8 @@ def resolved_codes(spark: SparkSession, d: str) -> DataFrame:
 def asof_errors(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
     wrong, order = F.col("event_type") == "error", ["ts", "event_id"]
-    before = axes.nearest_before(F.col("event_id"), wrong, ["user_id"], order)
-    after = axes.nearest_after(F.col("event_id"), wrong, ["user_id"], order)
-    rows = rows.withColumns({"error_before": before, "error_after": after})
+    hour = F.date_trunc("hour", "ts")
+    rows = axes.nearest_in_stretches(rows, F.col("event_id"), wrong, ["user_id"], order, hour, "error_before", "error_after")
     return rows.where(F.col("event_type") == "purchase").select("event_id", "error_before", "error_after")
 
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from moothall.operators import checks, merge, nodes, people, registry, runs, selectors
+from moothall.operators import axes, checks, merge, nodes, people, registry, runs, selectors
 from moothall.plans import extract
 from moothall.sources import readers, writers
 
@@ -194,6 +194,27 @@ def test_checks(spark):
     assert facts.where("council_id = 'B'").first()["tags"] == ["x", "y"]
 
 
+def test_loaded(spark):
+    facts = readers.source_facts(spark.createDataFrame([("A", "class Scraper(JSONCouncillorScraper):\n    x = 1"), ("B", "class Scraper(Thread):\n    pass"), ("C", "nothing")], "council_id string, content string"))
+    codes = spark.createDataFrame([(c,) for c in "ABCD"], "council_id string")
+    assert {r[0]: r[1] for r in checks.loaded(codes, facts).collect()} == {"A": "ok", "B": "wrong base", "C": "wrong base", "D": "missing"}
+
+
+@pytest.mark.parametrize("n", [1, 7, 1000])
+def test_neighbours_in_stretches(spark, n):
+    rows = [(u, i, i % 5 == u) for u in (0, 1, 9) for i in range(40)] + [(None, 3, False), (None, 4, True), (None, 5, False)]
+    df = spark.createDataFrame(rows, "u int, i int, hit boolean").withColumn("v", F.col("i") * 10)
+    got = axes.nearest_in_stretches(df, F.col("v"), F.col("hit"), ["u"], ["i"], F.floor(F.col("i") / n), "b", "a")
+    want = {(u, i): (max((10 * k for w, k, h in rows if w == u and h and k < i), default=None), min((10 * k for w, k, h in rows if w == u and h and k > i), default=None)) for u, i, _ in rows}
+    assert {(r["u"], r["i"]): (r["b"], r["a"]) for r in got.collect()} == want and got.columns == ["u", "i", "hit", "v", "b", "a"]
+
+
+def test_portraits(spark):
+    urls = ["https://a.org/p.jpg", "https://b.org/p.jpg", "http://b.org/LOGO.png", "data:x", "https://c.org/x.svg", None]
+    got = extract.photo_links(spark.createDataFrame([(u,) for u in urls], "photo_url string"), insecure=("b.org",))
+    assert sorted(r[0] for r in got.collect()) == ["http://b.org/p.jpg", "https://a.org/p.jpg"]
+
+
 def test_resolved(spark):
     folders = spark.createDataFrame([("ABC-north-town",), ("ABD-north-city",), ("XYZ",), ("NOR-norwich",)], "folder string")
     codes = spark.createDataFrame([("abc",), ("north",), ("XYZ",), ("norwich",), ("QQQ",)], "code string")

@@ -204,6 +204,13 @@ def test_details_by_each_sites_rules(spark):
     assert got == [("a", "x@y.org"), ("again", "x@y.org"), ("b", "or@else"), ("c", None), ("d", None)]
 
 
+def test_attributes_by_pattern():
+    html = '<img src="/logo.png" alt="x"><img src="a.jpg" alt="Cllr Ann"><img alt="none">'
+    rules = {"portrait": [("having", "img", "alt", "(?i)cllr|councillor"), ("attr", "src")], "other": [("lacking", "img", "src", "logo"), ("attr", "alt")], "no": [("having", "img", "title", ".")]}
+    program = sites.programs_of({"X": rules})["X"]
+    assert sites.Run(sites.Site(program), html, "").values(-1) == {"portrait": "a.jpg", "other": "Cllr Ann", "no": None}
+
+
 @pytest.mark.parametrize("chain", [[("fly",)], [("select", "a:hover")]])
 def test_rules_that_there_are_not(chain):
     with pytest.raises(ValueError):
