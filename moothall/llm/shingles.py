@@ -99,6 +99,13 @@ def runs(w: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
+def windows(w: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words from running sums, for long runs."""
+    _, _, power, inverse = _tables(max(len(w), PIECE) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(w) * power[: len(w)])))
+    return mix((total[k:] - total[:-k]) * inverse[: len(w) - k + 1])
+
+
 def shingles(texts: list[bytes], k: int = SHINGLE) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text its different word runs, sorted, and how often each occurs."""
     return [np.unique(runs(w, k), return_counts=True) for w in words(texts)]

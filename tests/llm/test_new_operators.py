@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from moothall.llm import infill, pii, variants
+from moothall.llm import infill, passages, pii, shingles, variants
 from tests.llm.test_operators import ODD, docs_of, prose
 
 # 11
@@ -247,3 +247,30 @@ def test_words_as_units(spark):
             p, rest = f["output"][3:].split("<S>")
             s, m = rest.split("<M>")
             assert p + m + s == text and len(p) == f["prefix_chars"] and not (s and s[0].isspace())
+
+
+# 7
+
+
+def test_a_passage_whose_pieces_are_elsewhere(spark):
+    """98 words in two texts, of which five overlapping pieces of 49 are each in an earlier and a later text."""
+    rows, groups = [], 25
+    for g in range(groups):
+        passage = prose(1000 + g, 98, 100_000).split()
+        pieces = [passage[i : i + 49] for i in (0, 12, 24, 36, 49)]
+        around = lambda k, part: (k, " ".join([prose(k * 7 + 1, 30, 100_000), *part, prose(k * 7 + 2, 30, 100_000)]), "en")
+        base = g * 20
+        rows += [around(base + i, p) for i, p in enumerate(pieces)] + [around(base + 8, passage), around(base + 9, passage)] + [around(base + 12 + i, p) for i, p in enumerate(pieces)]
+    found = passages.repeated_passages(docs_of(spark, rows).coalesce(1)).collect()
+    met = {(r["doc_id"], r["other_id"]) for r in found if r["stop"] - r["start"] >= 98}
+    assert all((g * 20 + 8, g * 20 + 9) in met and (g * 20 + 9, g * 20 + 8) in met for g in range(groups))
+
+
+def test_runs_about_places():
+    w = np.arange(200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    every = shingles.windows(w, passages.LEAST)
+    assert len(every) == 151 and len(set(every.tolist())) == 151 and shingles.windows(w[7:90], passages.LEAST).tolist() == every[7 : 7 + 34].tolist()
+    for at in ([0], [100], [196], [3, 190]):
+        starts = {s for a in at for s in range(max(a + passages.K - passages.LEAST, 0), min(a, 150) + 1)}
+        assert set(passages.whole_runs(w, np.array(at)).tolist()) == set(every[sorted(starts)].view(np.int64).tolist())
+    assert len(passages.whole_runs(w[:49], np.array([0]))) == 0
