@@ -199,6 +199,8 @@ def parse(data: bytes) -> list[Image]:
         chosen = {body[1 + 2 * i]: body[2 + 2 * i] for i in range(body[0])}
         parts = size[2]
         factors = [(p[1] >> 4, p[1] & 15) for p in parts] if len(parts) > 1 else [(1, 1)]
+        if any(not 1 <= f <= 4 for pair in factors for f in pair):
+            raise ValueError("no such sampling factor")
         blocks = tuple(
             (i, huffman[chosen[p[0]] >> 4], huffman[16 + (chosen[p[0]] & 15)])
             for i, p in enumerate(parts)
@@ -367,7 +369,7 @@ def read(stored: list[bytes | None]) -> list[tuple[bytes, str] | None]:
     for data in stored:
         try:
             images = parse(data) if data else None
-        except (ValueError, KeyError, IndexError, struct.error):
+        except (ValueError, LookupError, ArithmeticError, struct.error):
             images = None
         for x in images or ():
             x.scan = (x.scan[0] + at, x.scan[1] + at)
@@ -378,7 +380,7 @@ def read(stored: list[bytes | None]) -> list[tuple[bytes, str] | None]:
     flat = [x for images in found for x in images or ()]
     try:
         thumbs = iter(thumbnails(b"".join(good), flat) if flat else [])
-    except ValueError:
+    except (ValueError, LookupError, ArithmeticError):
         if len(stored) == 1:
             return [None]
         return [x for data in stored for x in read([data])]

@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from moothall.llm import infill, passages, pii, shingles, variants
+from moothall.llm import infill, jpeg, passages, pii, shingles, variants
 from tests.llm.test_operators import ODD, docs_of, prose
 
 # 11
@@ -274,3 +274,36 @@ def test_runs_about_places():
         starts = {s for a in at for s in range(max(a + passages.K - passages.LEAST, 0), min(a, 150) + 1)}
         assert set(passages.whole_runs(w, np.array(at)).tolist()) == set(every[sorted(starts)].view(np.int64).tolist())
     assert len(passages.whole_runs(w[:49], np.array([0]))) == 0
+
+
+# 6
+
+
+def test_damaged_images_are_no_images():
+    good = jpeg.write([jpeg.pad(prose(1, 300).encode())])[0]
+    want = jpeg.read([good])[0]
+    r = random.Random(2)
+    at = good.index(b"\xff\xc0")
+    zero = bytearray(good)
+    zero[at + 9 : at + 10] = b"\x03"
+    damaged = [bytes(zero), good[:-2], b"\xff\xd8", b"x"]
+    for _ in range(1500):
+        bad = bytearray(good)
+        for _ in range(r.randrange(1, 8)):
+            # headers rather than the scan, which is most of an image
+            bad[r.randrange(min(len(bad), 700) if r.random() < 0.8 else len(bad))] = r.randrange(256)
+        damaged.append(bytes(bad[: r.randrange(len(bad))] if r.random() < 0.2 else bad))
+    for i in range(0, len(damaged), 50):
+        got = jpeg.read([*damaged[i : i + 50], good])
+        assert len(got) == len(damaged[i : i + 50]) + 1 and got[-1] == want
+
+
+def test_hash_of_a_thumbnail_against_cell_means():
+    r = np.random.default_rng(3)
+    for high, wide in ((8, 8), (9, 17), (24, 24), (72, 8), (100, 33)):
+        thumb = r.integers(0, 256, (high, wide)).astype(np.uint8)
+        mean = thumb.astype(float).mean()
+        edges = lambda n: [i * n // 8 for i in range(9)]
+        rows, cols = edges(high), edges(wide)
+        bits = [thumb[rows[i] : rows[i + 1], cols[j] : cols[j + 1]].astype(float).mean() > mean for i in range(8) for j in range(8)]
+        assert jpeg.average_hash(thumb) == f"{int(''.join(str(int(b)) for b in bits), 2):016x}"
