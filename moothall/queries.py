@@ -8,15 +8,16 @@ pages.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moothall.functions import codecs, links, text, values
-from moothall.operators import axes, checks, mentions, merge, nodes, people, registry, runs, selectors
+from moothall.operators import axes, checks, isolated, mentions, merge, nodes, people, registry, runs, selectors
 from moothall.plans import extract, sites
-from moothall.sources import readers, shared, writers
+from moothall.sources import readers, shared, store, writers
 from moothall.sources.readers import table
 from moothall.streaming import logs
 
@@ -909,6 +910,42 @@ def ward_listing_rows(spark: SparkSession, d: str) -> DataFrame:
     return people.gate(extract.ward_listing(payloads))[0]
 
 
+@query(
+    """SELECT s_nationkey::VARCHAR AS council_id, s_suppkey || '.json' AS file_name, s_name AS content FROM supplier WHERE s_nationkey % 2 = 1 AND s_acctbal > 0
+    UNION ALL SELECT s_nationkey::VARCHAR, s_suppkey || '.json', upper(s_name) FROM supplier WHERE s_nationkey % 2 = 0 AND s_acctbal > 5000"""
+)
+def store_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as files of their nations, written in two sessions: all that aren't in debt, then the even nations anew with
+    the rich ones only, so that what these had before is gone."""
+    root = f"{shared.folder(spark)}/store-{uuid.uuid4().hex}"
+    rows = table(spark, d, "supplier").withColumn("council_id", F.col("s_nationkey").cast("string"))
+    files = rows.select("council_id", F.concat("s_suppkey", F.lit(".json")).alias("file_name"), F.col("s_name").alias("content"), "s_acctbal")
+    store.commit(files.where("s_acctbal > 0").drop("s_acctbal"), rows, root, "all of them")
+    again = files.where("s_acctbal > 5000").withColumn("content", F.upper("content")).drop("s_acctbal")
+    store.commit(again, rows.where("s_nationkey % 2 = 0"), root, "the even ones")
+    return store.stored(spark, root)
+
+
+@query(
+    """SELECT n_nationkey::VARCHAR AS council_id, count(*) AS n, sum(c_custkey)::BIGINT AS total, NULL::VARCHAR AS error FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey % 7 <> 3 GROUP BY ALL
+    UNION ALL SELECT n_nationkey::VARCHAR, NULL, NULL, 'ValueError: nation ' || n_nationkey FROM nation WHERE n_nationkey % 7 = 3 AND EXISTS (SELECT 1 FROM customer WHERE c_nationkey = n_nationkey)"""
+)
+def isolated_councils(spark: SparkSession, d: str) -> DataFrame:
+    """Nations as councils that are worked on one by one; some raise, which is their own failure."""
+
+    def work(council: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = total = 0
+        for batch in batches:
+            if int(council) % 7 == 3:
+                raise ValueError(f"nation {council}")
+            n, total = n + len(batch), total + int(batch["c_custkey"].sum())
+        yield pd.DataFrame({"n": [n], "total": [total]})
+
+    rows = table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("council_id"), "c_custkey")
+    kept, failures = isolated.isolated(rows, work, "n long, total long")
+    return kept.unionByName(failures.select("council_id", "error"), allowMissingColumns=True)
+
+
 @query("SELECT u.event_id, u.user_id, coalesce(n.v, u.value) AS content FROM events u LEFT JOIN (SELECT event_id, value * 2 AS v FROM events WHERE event_type = 'error') n USING (event_id)")
 def staged_read_through(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events")
