@@ -2,10 +2,11 @@
 
 A document's own evidence is a sum of log-likelihood ratios of the words and shapes it has. The ratios come from grouped
 counts over a bounded sample of labelled documents (``SAMPLE``, by hash of their ids); only those that stand out clearly
-count, and at most ``MODEL`` of them, which bounds what is broadcast. The sum becomes a probability by a two-parameter fit on a bounded sample (``CALIBRATION`` rows).
+count, and as each needs several documents of the sample, that bounds what is sent to tasks. The sum becomes a probability by a
+two-parameter fit on labelled documents that the ratios didn't come from: one of ``FOLDS`` by hash of the id, ``CALIBRATION`` at most.
 
-Hosts and paths then get posteriors by grouped aggregation over all documents: labels where there are any, the evidence
-elsewhere. A host's mean is shrunk toward the global mean and a path's toward its host's, by concentrations that the
+Hosts and paths then get posteriors for each label, quality and toxicity alike, by grouped aggregation over all documents: labels
+where there are any, the evidence elsewhere. A host's mean is shrunk toward the global mean and a path's toward its host's, by concentrations that the
 spread of the means themselves gives, so a sparse site says little. Evidence and site are combined as log-odds.
 
 Defined results: documents without labels, text, host or path are scored like others (null text is empty, null host or
@@ -29,8 +30,8 @@ from moothall.llm.common import cut
 
 #: Labelled documents that features are learned from.
 SAMPLE = 20_000
-#: Features in the model, labelled documents that a feature needs, how clearly and how much it must tell, rows of the fit.
-MODEL, LEAST, CLEAR, MUCH, CALIBRATION = 20_000, 4, 4.0, 0.7, 4000
+#: Labelled documents that a feature needs, how clearly and how much it must tell, rows of the fit, and parts one of which is for it.
+LEAST, CLEAR, MUCH, CALIBRATION, FOLDS = 4, 4.0, 0.7, 4000, 5
 
 _WORD, _SIGNS, _CAPITALS = re.compile(r"\w+"), re.compile(r"[^\w\s]{2,}"), re.compile(r"\b[A-Z]{2,}\b")
 
@@ -69,8 +70,8 @@ def _logit(p: Column) -> Column:
 
 
 def log_ratios(labelled: DataFrame, labels: tuple[str, ...]) -> dict[str, list[float]]:
-    """What having a feature says about each label (0 or 1), from one pass over the labelled rows; ``MODEL`` features for
-    each label at most, and 0 where a feature says nothing clear."""
+    """What having a feature says about each label (0 or 1), from one pass over the labelled rows; 0 where a feature
+    says nothing clear."""
     each = labelled.select(*labels, F.explode("features").alias("feature")).groupBy("feature")
     sums = [f(x).cast("double").alias(f"{k}_{x}") for x in labels for k, f in (("n", F.count), ("s", F.sum))]
     counts = cut(each.agg(*sums, F.count("*").alias("rows")).where(F.col("rows") >= LEAST))
@@ -89,7 +90,7 @@ def log_ratios(labelled: DataFrame, labels: tuple[str, ...]) -> dict[str, list[f
         clear = F.sqrt(2 * F.greatest(part(own, p) + part(n_own - own, 1 - p), F.lit(0.0)))
         told = counts.select("feature", ratio.alias("ratio"), clear.alias("clear"))
         told = told.where((F.col("clear") >= CLEAR) & (F.abs("ratio") >= MUCH))
-        for r in told.orderBy(F.desc("clear"), "feature").limit(MODEL).collect():
+        for r in told.orderBy("feature").collect():
             table.setdefault(r["feature"], [0.0] * len(labels))[i] = r["ratio"]
     return table
 
@@ -122,9 +123,16 @@ def sums_of(text: Column, table: dict[str, list[float]], labels: tuple[str, ...]
     return F.pandas_udf(summed, ", ".join(f"{x} double" for x in labels))(text)
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a labelled document is for the fit of probabilities rather than for ratios."""
+    return F.pmod(F.xxhash64(doc_id, F.lit("fold")), F.lit(FOLDS)) == 0
+
+
 def calibrated(rows: DataFrame, labels: tuple[str, ...]) -> DataFrame:
-    """``rows`` (row, sums, said) with a probability ``p_<label>`` for each label, fitted on a bounded sample."""
-    sample = rows.where("said IS NOT NULL").orderBy(F.xxhash64("row"), "row").limit(CALIBRATION).select("sums", "said").collect()
+    """``rows`` (doc_id, sums, said) with a probability ``p_<label>`` for each label, fitted on a bounded sample of those
+    held out."""
+    one = rows.where("said IS NOT NULL").where(held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min(F.struct("sums", "said")).alias("r"))
+    sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION).select("r.*").collect()
     for x in labels:
         got = [(r["sums"][x], r["said"][x]) for r in sample if r["said"][x] is not None]
         a, b = _fit_sigmoid(np.array([g[0] for g in got]), np.array([float(g[1]) for g in got]))
@@ -153,30 +161,38 @@ def site_posteriors(rows: DataFrame) -> DataFrame:
     return both.select("host", "path", "host_posterior", shrunk.alias("path_posterior"), F.lit(prior).alias("prior"))
 
 
+def with_sites(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` with host_<label>, path_<label> (posteriors of their site) and <label>: evidence and site together."""
+    sites = site_posteriors(rows.select("host", "path", F.coalesce(f"said.{label}", f"p_{label}").alias("y")))
+    sites = sites.toDF("h", "p", f"host_{label}", f"path_{label}", "prior")
+    both = rows.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
+    odds = _logit(F.col(f"p_{label}")) + _logit(F.col(f"path_{label}")) - _logit(F.col("prior"))
+    return both.withColumn(label, 1 / (1 + F.exp(-odds))).drop("h", "p", "prior")
+
+
 def scored(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
-    """doc_id, evidence, host_posterior, path_posterior, quality, toxic and keep for each row of ``docs``."""
+    """doc_id, evidence, host_posterior, path_posterior, quality, toxic_evidence, toxic_host, toxic_path, toxic and keep for
+    each row of ``docs``."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", host.alias("host"), path.alias("path"))
     names = ("quality", "toxic")
     truth = labels.where("doc_id IS NOT NULL").groupBy("doc_id")
     truth = cut(truth.agg(*[F.round(F.avg(x)).alias(x) for x in names]))
     # a bounded sample of labels goes to the texts, so no text moves
-    sample = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    sample = truth.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     labelled = rows.join(F.broadcast(sample), "doc_id").select(*names, featured(F.col("text")).alias("features"))
     table = log_ratios(labelled, names)
     made = rows.select("row", "doc_id", "host", "path", sums_of(F.col("text"), table, names).alias("sums"))
     made = cut(made.join(truth.select("doc_id", F.struct(*names).alias("said")), "doc_id", "left"))
-    made = calibrated(made, names)
-    sites = site_posteriors(made.select("host", "path", F.coalesce("said.quality", "p_quality").alias("y")))
-    sites = sites.withColumnsRenamed({"host": "h", "path": "p"})
-    made = made.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
-    odds = _logit(F.col("p_quality")) + _logit(F.col("path_posterior")) - _logit(F.col("prior"))
-    quality = 1 / (1 + F.exp(-odds))
+    made = with_sites(with_sites(calibrated(made, names), "quality"), "toxic")
     return made.select(
         "doc_id",
         F.col("p_quality").alias("evidence"),
-        "host_posterior",
-        "path_posterior",
-        quality.alias("quality"),
-        F.col("p_toxic").alias("toxic"),
-        ((quality >= 0.5) & (F.col("p_toxic") <= 0.5)).alias("keep"),
+        F.col("host_quality").alias("host_posterior"),
+        F.col("path_quality").alias("path_posterior"),
+        "quality",
+        F.col("p_toxic").alias("toxic_evidence"),
+        F.col("host_toxic").alias("toxic_host"),
+        F.col("path_toxic").alias("toxic_path"),
+        "toxic",
+        ((F.col("quality") >= 0.5) & (F.col("toxic") <= 0.5)).alias("keep"),
     )

@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from moothall.llm import infill, jpeg, passages, pii, shingles, variants
+from moothall.llm import infill, jpeg, passages, pii, quality, shingles, variants
 from tests.llm.test_operators import ODD, docs_of, prose
 
 # 11
@@ -307,3 +307,49 @@ def test_hash_of_a_thumbnail_against_cell_means():
         rows, cols = edges(high), edges(wide)
         bits = [thumb[rows[i] : rows[i + 1], cols[j] : cols[j + 1]].astype(float).mean() > mean for i in range(8) for j in range(8)]
         assert jpeg.average_hash(thumb) == f"{int(''.join(str(int(b)) for b in bits), 2):016x}"
+
+
+# 4
+
+
+def test_site_posteriors_against_plain_python(spark):
+    r = random.Random(4)
+    rows = [(f"h{h}" if h else None, f"p{p}", float(r.random() < 0.2 + 0.07 * h)) for h in range(8) for p in range(4) for _ in range(r.randrange(1, 60 if p else 3))]
+    got = {(x["host"], x["path"]): x for x in quality.site_posteriors(spark.createDataFrame(rows, "host string, path string, y double")).collect()}
+
+    def shrinkage(groups, means):
+        n = sum(len(g) for g in groups)
+        spread = sum(len(g) * (sum(g) / len(g) - m) ** 2 for g, m in zip(groups, means)) / n
+        between = max(spread - sum(m * (1 - m) for m in means) / n, 1e-5)
+        top = max(means)
+        return max(top * (1 - top) / between - 1, 1.0)
+
+    prior = sum(y for *_, y in rows) / len(rows)
+    hosts = {h: [y for a, _, y in rows if a == h] for h in {a for a, *_ in rows}}
+    k = shrinkage(list(hosts.values()), [prior] * len(hosts))
+    host = {h: (sum(g) + k * prior) / (len(g) + k) for h, g in hosts.items()}
+    paths = {(h, p): [y for a, b, y in rows if (a, b) == (h, p)] for h, p in {(a, b) for a, b, _ in rows}}
+    k = shrinkage(list(paths.values()), [host[h] for h, _ in paths])
+    assert set(got) == set(paths)
+    for (h, p), g in paths.items():
+        assert abs(got[h, p]["host_posterior"] - host[h]) < 1e-9 and abs(got[h, p]["prior"] - prior) < 1e-9
+        assert abs(got[h, p]["path_posterior"] - (sum(g) + k * host[h]) / (len(g) + k)) < 1e-9
+
+
+def test_a_toxic_site_says_something_of_its_documents(spark):
+    r = random.Random(9)
+    word = lambda bad: r.choice(["vile", "scum", "filth"]) if bad else r.choice(["kind", "calm", "fair"])
+    rows, labels = [], []
+    for i in range(800):
+        site = i % 4
+        bad = r.random() < (0.9 if site == 0 else 0.05)
+        plain = i % 10 == 0
+        rows.append((i, " ".join([*(f"w{r.randrange(200)}" for _ in range(40)), *([] if plain else [word(bad) for _ in range(4)])]), "en", f"s{site}", 0, "a", "b", 1, "c"))
+        if i % 2 and not plain:
+            labels.append((i, int(not bad), int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row string, blob string, words int, label string")
+    got = {x["doc_id"]: x for x in quality.scored(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), docs["source"], docs["lang"]).collect()}
+    # texts that say nothing themselves: those of the toxic site are more likely toxic
+    silent = lambda site: [got[i]["toxic"] for i in range(0, 800, 10) if i % 4 == site]
+    assert min(silent(0)) > max(silent(2)) and got[0]["toxic_host"] > 0.6 > 0.3 > got[2]["toxic_host"]
+    assert all(x["keep"] == (x["quality"] >= 0.5 and x["toxic"] <= 0.5) for x in got.values())
