@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -62,6 +63,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver find out which checkpoints and shuffle files nothing refers to any more, so that they are removed while
+    an operator of many steps goes on; Spark removes them when the driver collects its garbage, which a small plan rarely causes."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df``, put aside first unless it is read from files, with columns and rows chosen at most.
 
