@@ -954,3 +954,6 @@ def staged_read_through(spark: SparkSession, d: str) -> DataFrame:
     both = readers.staged_over_base(staged, base)
     return both.join(rows.select("event_id", "user_id"), F.col("path") == F.col("event_id")).select("event_id", "user_id", "content")
 
+
+
+from moothall import record_queries  # noqa: E402, F401  (registers its queries here)
