@@ -4,7 +4,8 @@
 their files. Tasks write their files into folders of their own, which nobody sees: what is in force is said by a manifest, a
 small file that names for each council the folders with its files. A session's end writes the next manifest in one move, so
 all its councils change at once, or none if a task or the driver fails; files of attempts that failed or were repeated are
-in no manifest. ``vacuum`` removes what no manifest in force names.
+in no manifest. ``vacuum`` removes what no manifest in force names, such as what a task of a broken-off session wrote after
+its end.
 
 Layout: ``<root>/manifests/<number>-<session>.json`` and ``<root>/files/<session>/<attempt>/<council>/<file>``. The manifest has
 an entry for each council, not for each file. ``root`` is a folder that driver and executors share: a path, or an address that
