@@ -353,3 +353,20 @@ def test_a_toxic_site_says_something_of_its_documents(spark):
     silent = lambda site: [got[i]["toxic"] for i in range(0, 800, 10) if i % 4 == site]
     assert min(silent(0)) > max(silent(2)) and got[0]["toxic_host"] > 0.6 > 0.3 > got[2]["toxic_host"]
     assert all(x["keep"] == (x["quality"] >= 0.5 and x["toxic"] <= 0.5) for x in got.values())
+
+
+def test_recall_of_passages_with_changed_words(spark):
+    """Of 40 pairs of texts each that share 80 words, with so many of 100 equal at random places."""
+    rows, pairs = [], {}
+    for share in (95, 90, 85, 80):
+        for g in range(40):
+            r = random.Random(share * 1000 + g)
+            passage = [f"p{r.randrange(10**6)}" for _ in range(80)]
+            changed = [w if r.random() * 100 < share else f"c{r.randrange(10**6)}" for w in passage]
+            ids = (share * 1000 + 2 * g, share * 1000 + 2 * g + 1)
+            pairs[ids] = share
+            rows += [(ids[i], " ".join([prose(ids[i] * 3, 40, 10**6), *part, prose(ids[i] * 3 + 1, 40, 10**6)]), "en") for i, part in enumerate((passage, changed))]
+    found = {(r["doc_id"], r["other_id"]) for r in passages.repeated_passages(docs_of(spark, rows)).select("doc_id", "other_id").collect()}
+    recall = {s: sum(p in found for p, x in pairs.items() if x == s) / 40 for s in (95, 90, 85, 80)}
+    print(recall)
+    assert recall[95] >= 0.97 and recall[90] >= 0.97 and recall[85] >= 0.9 and recall[80] >= 0.6, recall
