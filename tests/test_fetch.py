@@ -108,3 +108,9 @@ def test_pages_have_their_own_address(spark, server):
     rows = spark.read.format("pages").options(urls=json.dumps([f"{base}/organisations"]), next_pattern='"next": "([^"]+)"').load().orderBy("page").collect()
     assert [r["start"] for r in rows] == [f"{base}/organisations"] * 3
     assert [r["url"].split("page=")[-1] for r in rows] == [f"{base}/organisations", "1", "2"]
+
+
+def test_a_proxy_is_asked(spark, server):
+    base, asked, _ = server
+    rows = spark.createDataFrame([("http://nowhere.invalid/p",)], "url string")
+    assert fetch.fetched(rows, proxy=base).first()["status"] == 200 and asked["http://nowhere.invalid/p"] == 1

@@ -65,3 +65,14 @@ def test_a_stream_is_written_when_full_or_after_a_while(spark, tmp_path):
     # ten events of a hundred bytes fill a batch; what is left is written after a while, and so is the other stream's
     assert count == {("a", 0): 10, ("a", 1): 10, ("a", 2): 5, ("b", 0): 1, ("a", 3): 10}
     assert sorted(t for s, _, t in rows if s == "a") == [*range(25), *range(100, 110)]
+
+
+def test_latest_passes_a_key_once(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    rows = [("A", "2024-01-01T00:00:00"), ("A", "2024-01-01T05:00:00"), ("B", "2024-01-01T01:00:00")]
+    (source / "1.json").write_text("\n".join(json.dumps({"council": c, "at": t}) for c, t in rows))
+    stream = spark.readStream.schema("council string, at timestamp").json(str(source))
+    query = logs.latest(stream, "council", "at").writeStream.format("memory").queryName("latest_runs").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).start()
+    query.awaitTermination(120)
+    assert sorted(r["council"] for r in spark.table("latest_runs").collect()) == ["A", "B"]

@@ -257,3 +257,16 @@ def test_queue_and_results(spark):
     rows = [(*none, ("A", *none[:3], "completed", *none[:3])), (*none, None), ("B", *none[:7], None)]
     df = spark.createDataFrame(rows, f"{fields}, Payload struct<{', '.join(x.replace(' ', ':', 1) for x in fields.split(', '))}>")
     assert sorted(r["council"] for r in readers.unwrapped_results(df).collect()) == ["A", "B"]
+
+
+def test_small_outputs(spark, tmp_path):
+    rows = spark.createDataFrame([("b", 'x "y"', None), ("a", "z, é", "m")], "council_id string, name string, email string")
+    writers.write_csv(rows.orderBy("council_id").coalesce(1), str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    assert part.read_text().splitlines()[0] == "council_id,name,email" and len(part.read_text().splitlines()) == 3
+    assert spark.read.option("header", True).option("escape", "\\").csv(str(tmp_path / "out")).count() == 2
+    listing = json.loads(writers.json_listing(rows, "councillors", "council_id").first()["value"])
+    assert listing["service"] == "councillors" and listing["total_count"] == 2 and [c["council_id"] for c in listing["councils"]] == ["a", "b"]
+    assert json.loads(writers.json_listing(rows.where("false"), "councillors", "council_id").first()["value"])["total_count"] == 0
+    first = people.by_file_name(spark.createDataFrame([("X", 1, "a"), ("X", 2, "a"), ("Y", 1, "a")], "council_id string, pos int, name string"), F.col("name"), ["pos"])
+    assert sorted((r["council_id"], r["pos"]) for r in first.collect()) == [("X", 2), ("Y", 1)]
