@@ -14,7 +14,8 @@ templates that look at a few turns at a time. Digests of a conversation need its
 digest can't be put together from parts.
 
 Defined results: turns are ordered by (turn, role, text), so ties and repeated rows have a fixed order and all count;
-null text or role is empty; rows with a null conversation id are one conversation with that id; extra columns are dropped.
+null text or role is empty; rows with a null conversation id are one conversation with that id; extra columns are dropped;
+roles don't hold the placeholder character U+E000, while texts may; a very long text is rendered whole, twice a turn.
 """
 
 from __future__ import annotations

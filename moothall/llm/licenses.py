@@ -9,7 +9,7 @@ Base templates are short phrases, whose spans need every pair on one diagonal, s
 need ``LEAST`` of their pairs. The templates are fixed values of a few hundred words, so their table is broadcast.
 
 Defined results: null text is empty: no words, no places, empty labels, score 0; places are word numbers from 0; every
-row of the input gives one row.
+row of the input gives one row; a very long text's words are one array in its row; only doc_id and text are read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ spread of the means themselves gives, so a sparse site says little. Evidence and
 
 Defined results: documents without labels, text, host or path are scored like others (null text is empty, null host or
 path is a site of its own); several labels of a document count as one by their mean; without any labels, everything has
-the prior 0.5 and is kept; each row of the input gives one row.
+the prior 0.5 and is kept; each row of the input gives one row; a very long text's words are one set in its task.
 """
 
 from __future__ import annotations
