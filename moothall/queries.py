@@ -706,7 +706,7 @@ def page_texts(spark: SparkSession, d: str) -> DataFrame:
     spaced = nodes.text_of(F.col("nodes"), F.col("n"), " | ")
     first = nodes.text_of(F.col("nodes"), F.col("nodes")[F.col("n.at") + 1])
     inside = F.filter("nodes", lambda x: (x["at"] > F.col("n.at")) & (x["at"] <= F.col("n.last")) & (x["tag"] == "#text") & (F.trim(x["text"]) != ""))
-    return found.select("page_id", spaced.alias("spaced"), F.size(inside).alias("n_texts"), first.alias("first"), F.size(nodes.contents(F.col("nodes"), F.col("n"))).alias("n_contents"))
+    return found.select("page_id", spaced.alias("spaced"), F.size(inside).cast("long").alias("n_texts"), first.alias("first"), F.size(nodes.contents(F.col("nodes"), F.col("n"))).cast("long").alias("n_contents"))
 
 
 @query(
