@@ -27,7 +27,7 @@ LONGEST = 4
 _TEXTS = "array<struct<at:int,text:string,heading:string,tag:string>>"
 
 
-def texts_under(html: Column, heading: str = "h1, h2, h3, h4, h5, h6") -> Column:
+def texts_under(html: Column, heading: str = "h1, h2, h3, h4, h5, h6", closed: bool = False) -> Column:
     """A page's texts that aren't blank, in document order: place, text, the text of the nearest heading that began before it,
     and the tag of the element that it stands in."""
     css = steps(heading)
@@ -36,7 +36,7 @@ def texts_under(html: Column, heading: str = "h1, h2, h3, h4, h5, h6") -> Column
         program = matching.Program({"heading": css})
         for pages in batches:
             out = []
-            for page in map(tree.Page, pages.fillna("")):
+            for page in (tree.Page(html, closed) for html in pages.fillna("")):
                 found = program.run(page)["heading"]
                 said, rows, k = None, [], 0
                 for i in page.texts:
@@ -56,12 +56,12 @@ def words(x: Column) -> Column:
     return F.filter(F.split(text.slugify(x), "-"), lambda w: w != "")
 
 
-def mentions(names: DataFrame, pages: DataFrame, key: str = "council_id", name: str = "name", html: str = "content") -> DataFrame:
+def mentions(names: DataFrame, pages: DataFrame, key: str = "council_id", name: str = "name", html: str = "content", closed: bool = False) -> DataFrame:
     """(key, name, at, heading, tag, text) of each place of each name in the pages of its key: ``at`` is the text's place, ``heading``
     the nearest one before it."""
     own = names.select(key, name).distinct().withColumn("words", words(F.col(name))).where(F.size("words") > 0)
     own = own.withColumn("run", F.array_join(F.slice("words", 1, LONGEST), " "))
-    texts = pages.select(key, F.inline(texts_under(F.col(html)))).withColumn("all", words(F.col("text")))
+    texts = pages.select(key, F.inline(texts_under(F.col(html), closed=closed))).withColumn("all", words(F.col("text")))
     n = F.size("all")
     # as many runs as a text has words, times LONGEST
     at = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(LONGEST)), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(i.alias("i"), k.alias("k")))).otherwise(F.array().cast("array<struct<i:int,k:int>>"))))

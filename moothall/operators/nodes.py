@@ -51,45 +51,52 @@ class Elements:
         }
 
 
-def parse(html: str) -> list[dict]:
+def parse(html: str, closed: bool = False) -> list[dict]:
     """The rows of a page's elements in document order."""
-    rows = Elements(tree.Page(html))
+    rows = Elements(tree.Page(html, closed))
     return [rows.row(i) for i in rows.page.elements]
 
 
-def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _parsed(batches: Iterator[pd.Series], closed: bool = False) -> Iterator[pd.Series]:
     for pages in batches:
-        yield pd.Series([parse(page) for page in pages.fillna("")], dtype=object)
+        yield pd.Series([parse(page, closed) for page in pages.fillna("")], dtype=object)
 
 
-def parsed(html: Column) -> Column:
+def parsed(html: Column, closed: bool = False) -> Column:
     """The elements of a page as an array, in document order; fields as in ``node_table``. Null or empty pages have none.
     Not deterministic to the optimizer, which would otherwise parse a page again for each filter on what was found."""
-    return F.pandas_udf(_parsed, NODE).asNondeterministic()(html)
+
+    def run(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return _parsed(pages, closed)
+
+    return F.pandas_udf(run, NODE).asNondeterministic()(html)
 
 
 def node_table(pages: DataFrame, key: str, html: str) -> DataFrame:
     """``key`` and the columns of every element of every page. Columns: pre, end, parent, depth, sib_index (from 1),
     sib_count, tag, id, classes, attrs, own_text, text_strip (all texts below, stripped and joined), text_after (the
     first text after the start tag). Null or empty pages have no elements."""
-    nodes = F.pandas_udf(_parsed, NODE)(F.col(html))
-    return pages.select(F.col(key), F.inline(nodes))
+    return pages.select(F.col(key), F.inline(parsed(F.col(html))))
 
 
-def _every(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _every(batches: Iterator[pd.Series], closed: bool = False) -> Iterator[pd.Series]:
     names = ("at", "last", "parent", "depth", "tag", "attrs", "text", "start", "stop")
     for pages in batches:
         out = []
         for html in pages.fillna(""):
-            p = tree.Page(html)
+            p = tree.Page(html, closed)
             text = [t if tag[0] == "#" else None for t, tag in zip(p.text, p.tag)]
             out.append([dict(zip(names, r)) for r in zip(range(len(p.tag)), p.last, p.up, p.depth, p.tag, p.attrs, text, p.start, p.stop)])
         yield pd.Series(out, dtype=object)
 
 
-def all_nodes(html: Column) -> Column:
+def all_nodes(html: Column, closed: bool = False) -> Column:
     """Every node of a page as an array in document order, fields as in ANY_NODE; the parent of a node at the top is -1."""
-    return F.pandas_udf(_every, ANY_NODE).asNondeterministic()(html)
+
+    def run(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return _every(pages, closed)
+
+    return F.pandas_udf(run, ANY_NODE).asNondeterministic()(html)
 
 
 def source_of(html: Column, node: Column) -> Column:
@@ -118,34 +125,35 @@ def contents(nodes: Column, node: Column) -> Column:
     return F.filter(inside, lambda n: n["parent"] == node["at"])
 
 
-def _found(batches: Iterator[pd.Series], css: Mapping[str, str]) -> Iterator[pd.DataFrame]:
+def _found(batches: Iterator[pd.Series], css: Mapping[str, str], closed: bool = False) -> Iterator[pd.DataFrame]:
     program = matching.Program({k: steps(v) for k, v in css.items()})
     for pages in batches:
         out = []
         for html in pages.fillna(""):
-            rows = Elements(tree.Page(html))
+            rows = Elements(tree.Page(html, closed))
             out.append({k: [rows.row(i) for i in v] for k, v in program.run(rows.page).items()})
         yield pd.DataFrame(out, columns=list(css), dtype=object)
 
 
-def found(html: Column, **css: str) -> Column:
-    """struct: for each name the nodes that its selector names, in document order. A page is parsed once for all of them."""
+def found(html: Column, closed: bool = False, /, **css: str) -> Column:
+    """struct: for each name the nodes that its selector names, in document order. A page is parsed once for all of them.
+    ``closed``, here and elsewhere, is ``tree.Page``'s."""
     for c in css.values():
         steps(c)
     kind = "struct<" + ",".join(f"{k}:{NODE}" for k in css) + ">"
 
     def run(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        return _found(pages, css)
+        return _found(pages, css, closed)
 
     return F.pandas_udf(run, kind).asNondeterministic()(html)
 
 
-def _listed(batches: Iterator[pd.Series], container: str, row: str, css: Mapping[str, str]) -> Iterator[pd.DataFrame]:
+def _listed(batches: Iterator[pd.Series], container: str, row: str, css: Mapping[str, str], closed: bool = False) -> Iterator[pd.DataFrame]:
     program = matching.Program({"container": steps(container), "row": steps(row)} | {f"f_{k}": steps(v) for k, v in css.items()})
     for pages in batches:
         out = []
         for html in pages.fillna(""):
-            rows = Elements(tree.Page(html))
+            rows = Elements(tree.Page(html, closed))
             hits = program.run(rows.page)
             box = hits["container"][0] if hits["container"] else None
             listed = []
@@ -156,7 +164,7 @@ def _listed(batches: Iterator[pd.Series], container: str, row: str, css: Mapping
         yield pd.DataFrame(out, columns=["n_nodes", "n_boxes", "rows"])
 
 
-def listed(html: Column, container: str, row: str, css: Mapping[str, str]) -> Column:
+def listed(html: Column, container: str, row: str, css: Mapping[str, str], closed: bool = False) -> Column:
     """struct: ``n_nodes`` of a page, ``n_boxes`` (how many containers it has), and ``rows`` in the first of them, each a struct
     of ``row`` and, for each field, ``f_<name>``: the first node below the row that the field's selector names."""
     for c in (container, row, *css.values()):
@@ -165,7 +173,7 @@ def listed(html: Column, container: str, row: str, css: Mapping[str, str]) -> Co
     kind = f"struct<n_nodes:int,n_boxes:int,rows:array<struct<{fields}>>>"
 
     def run(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        return _listed(pages, container, row, css)
+        return _listed(pages, container, row, css, closed)
 
     return F.pandas_udf(run, kind).asNondeterministic()(html)
 

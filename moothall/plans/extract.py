@@ -89,7 +89,7 @@ def person_blocks(
 
 
 def list_pages(
-    pages: DataFrame, container: str, row: str, fields: dict[str, tuple[str, Column]], link: str = "a", skip: dict[str, Column] | None = None, paged: bool = False
+    pages: DataFrame, container: str, row: str, fields: dict[str, tuple[str, Column]], link: str = "a", skip: dict[str, Column] | None = None, paged: bool = False, closed: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, failures) of list pages (council_id, url, content): a container, rows in it, and fields as (selector, value
     Column of the node). ``link`` is resolved against the page. Pages with no container or with several fail, alone.
@@ -97,7 +97,7 @@ def list_pages(
     With ``paged`` a council has several pages, numbered by a column ``n`` from 0 (``linked_pages`` gives them); rows go
     on from page to page, and of several containers of a page the first one counts."""
     ok = ("ok", "several") if paged else ("ok",)
-    own = pages.select("council_id", "url", (F.col("n").cast("long") if paged else F.lit(0)).alias("n"), nodes.listed(F.col("content"), container, row, {"_link": link} | {n: c for n, (c, _) in fields.items()}).alias("page"))
+    own = pages.select("council_id", "url", (F.col("n").cast("long") if paged else F.lit(0)).alias("n"), nodes.listed(F.col("content"), container, row, {"_link": link} | {n: c for n, (c, _) in fields.items()}, closed).alias("page"))
     own = own.select("council_id", "url", "n", "page.*").where("n_nodes > 0")
     found = own.withColumn("status", F.when(F.col("n_boxes") == 0, "none").when(F.col("n_boxes") > 1, "several").otherwise("ok"))
     failures = found.where(~F.col("status").isin(*ok)).select("council_id", "status").distinct()
@@ -118,11 +118,11 @@ def with_next(pages: DataFrame, css: str, base: Column | None = None) -> DataFra
     return own.withColumn("next_url", links.absolute(F.col("url") if base is None else base, F.col("__href"))).drop("__href")
 
 
-def with_details(rows: DataFrame, details: DataFrame, fields: dict[str, tuple[str, Column]]) -> DataFrame:
+def with_details(rows: DataFrame, details: DataFrame, fields: dict[str, tuple[str, Column]], closed: bool = False) -> DataFrame:
     """``rows`` with fields from their detail pages (url, content), each page parsed once."""
     needed = details.join(rows.select("url").distinct(), "url", "left_semi")
     css = {f"f{i}": c for i, (c, _) in enumerate(fields.values())}
-    found = needed.select(F.col("url").alias("__u"), nodes.found(F.col("content"), **css).alias("__found"))
+    found = needed.select(F.col("url").alias("__u"), nodes.found(F.col("content"), closed, **css).alias("__found"))
     for i, (name, (_, value)) in enumerate(fields.items()):
         found = selectors.valued(found.withColumn("__node", F.get(F.col(f"__found.f{i}"), F.lit(0))), "__node", value, name)
     return rows.join(found.drop("__found"), F.col("url") == F.col("__u"), "left").drop("__u")
