@@ -43,6 +43,13 @@ def ward_listing(payloads: DataFrame, skip: dict[str, Column] | None = None) ->
     return rows.withColumn("skip", people.skip_reason(skip or {}))
 
 
+def _dealt(pages: DataFrame, key: str) -> DataFrame:
+    """Pages dealt by a key over as many tasks as a shuffle has. Parsing costs far more than reading, so pages that are small
+    in their file, and would be read by a task or two, are spread before it; the number is given, as Spark joins small
+    partitions otherwise."""
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def person_blocks(
     pages: DataFrame, details: DataFrame | None = None, division_label: str = "Ward:", block: str = "PE_People_PersonBlock", party: list[sites.Written] | tuple[str, Column] | None = None
 ) -> DataFrame:
@@ -60,7 +67,7 @@ def person_blocks(
         "party": party if isinstance(party, list) else [("last", "img"), ("attr", "title")],
     }
     order = next((c for c in ("n", "url") if c in pages.columns), None)
-    own = pages.select("council_id", F.lit("blocks").alias("site"), F.lit("").alias("url"), "content", (F.col(order) if order else F.xxhash64("content")).alias("__page"))
+    own = _dealt(pages, "council_id").select("council_id", F.lit("blocks").alias("site"), F.lit("").alias("url"), "content", (F.col(order) if order else F.xxhash64("content")).alias("__page"))
     found = sites.listings(own, sites.rule_table(pages.sparkSession, {"blocks": rules}))
     if isinstance(party, tuple):
         said = nodes.listed(F.col("content"), "html", f"div.{block}", {"party": party[0]})["rows"]
@@ -81,7 +88,7 @@ def person_blocks(
         text.first_of(value("inline"), value("beside")).alias("division"),
     )
     if details is not None:
-        mails = details.select(F.col("url").alias("u"), F.get(nodes.found(F.col("content"), mail=".Email")["mail"], F.lit(0))["text_strip"].alias("email"))
+        mails = _dealt(details, "url").select(F.col("url").alias("u"), F.get(nodes.found(F.col("content"), mail=".Email")["mail"], F.lit(0))["text_strip"].alias("email"))
         rows = rows.join(mails, F.col("url") == F.col("u"), "left").drop("u")
     else:
         rows = rows.withColumn("email", F.lit(None).cast("string"))
