@@ -6,7 +6,8 @@ numbers. ``tree`` builds pages as browsers do, so each has html, head and body.
 with their places in the source.
 
 ``found`` and ``listed`` match selectors while a page is parsed and hand on what they name, so that the rest of the tree never
-leaves the task. All of a page's rows come from one task, which holds one page at a time.
+leaves the task. All of a page's rows come from one task, which holds one page's tree, and the rows of a piece
+of a batch (``tree.bounded``), at a time.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def parse(html: str, closed: bool = False) -> list[dict]:
 
 
 def _parsed(batches: Iterator[pd.Series], closed: bool = False) -> Iterator[pd.Series]:
-    for pages in batches:
+    for pages in tree.bounded(batches):
         yield pd.Series([parse(page, closed) for page in pages.fillna("")], dtype=object)
 
 
@@ -81,7 +82,7 @@ def node_table(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 def _every(batches: Iterator[pd.Series], closed: bool = False) -> Iterator[pd.Series]:
     names = ("at", "last", "parent", "depth", "tag", "attrs", "text", "start", "stop")
-    for pages in batches:
+    for pages in tree.bounded(batches):
         out = []
         for html in pages.fillna(""):
             p = tree.Page(html, closed)
@@ -127,7 +128,7 @@ def contents(nodes: Column, node: Column) -> Column:
 
 def _found(batches: Iterator[pd.Series], css: Mapping[str, str], closed: bool = False) -> Iterator[pd.DataFrame]:
     program = matching.Program({k: steps(v) for k, v in css.items()})
-    for pages in batches:
+    for pages in tree.bounded(batches):
         out = []
         for html in pages.fillna(""):
             rows = Elements(tree.Page(html, closed))
@@ -150,7 +151,7 @@ def found(html: Column, closed: bool = False, /, **css: str) -> Column:
 
 def _listed(batches: Iterator[pd.Series], container: str, row: str, css: Mapping[str, str], closed: bool = False) -> Iterator[pd.DataFrame]:
     program = matching.Program({"container": steps(container), "row": steps(row)} | {f"f_{k}": steps(v) for k, v in css.items()})
-    for pages in batches:
+    for pages in tree.bounded(batches):
         out = []
         for html in pages.fillna(""):
             rows = Elements(tree.Page(html, closed))
@@ -184,7 +185,7 @@ def pretty(html: Column, css: str) -> Column:
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ready = matching.Program(program)
-        for pages in batches:
+        for pages in tree.bounded(batches):
             out = []
             for page in map(tree.Page, pages.fillna("")):
                 out.append([page.pretty(i) for i in ready.run(page)["found"]])

@@ -1,8 +1,10 @@
 """Work on pages is dealt over the cluster, and what leaves a task is bounded."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from moothall.plans import extract
+from moothall.operators import nodes, tree
+from moothall.plans import extract, sites
 
 
 def test_person_blocks_parse_in_many_tasks(spark):
@@ -15,3 +17,15 @@ def test_person_blocks_parse_in_many_tasks(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("ArrowEvalPython") :]
     assert plan.count("ArrowEvalPython") == 2 and below.count("REPARTITION_BY_NUM") == 2
+
+
+def test_rows_of_a_batch_leave_in_pieces():
+    page = "<nav><ul><li><a href=x>y</a></li></ul></nav><p><b>c</b>" * 50
+    pages = pd.Series([page, None] * 200)
+    most = 2 * (tree.PIECE // len(page) + 1)
+    sizes = [[len(x) for x in run(iter([pages]))] for run in (nodes._every, nodes._parsed, lambda p: nodes._found(p, {"a": "a"}), lambda p: nodes._listed(p, "ul", "li", {}))]
+    assert all(sum(s) == len(pages) and max(s) <= most for s in sizes)
+    program = sites.programs_of({"s": {"row": [("select", "li")]}})["s"]
+    listed = [len(x) for x in sites._list(iter([(pages, pages, pd.Series([program] * len(pages)))]))]
+    assert sum(listed) == len(pages) and max(listed) <= most
+    assert [len(p) for p in tree.bounded(iter([pages[:0], pages[:1]]))] == [0, 1]
