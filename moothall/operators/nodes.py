@@ -111,12 +111,12 @@ def byte_range(html: Column, node: Column) -> Column:
     return F.struct(at(node["start"]).alias("start"), at(node["stop"]).alias("stop"))
 
 
-def text_of(nodes: Column, node: Column, separator: str = "", strip: bool = True) -> Column:
-    """All texts below a node of ``all_nodes`` in order, each stripped, empty ones left out, with ``separator`` between; those of
-    scripts and styles only where the node is one."""
+def text_of(nodes: Column, node: Column, separator: str = "", strip: bool = True, blanks: str = r"\s") -> Column:
+    """All texts below a node of ``all_nodes`` in order, each stripped of ``blanks``, empty ones left out, with ``separator`` between;
+    those of scripts and styles only where the node is one."""
     inside = F.slice(nodes, node["at"] + 1, node["last"] - node["at"] + 1)
     shown = lambda n: (n["parent"] == node["at"]) | ~F.get(nodes, n["parent"])["tag"].isin(*sorted(tree.HIDDEN))
-    texts = F.transform(F.filter(inside, lambda n: (n["tag"] == "#text") & shown(n)), lambda n: F.regexp_replace(n["text"], r"^\s+|\s+$", "") if strip else n["text"])
+    texts = F.transform(F.filter(inside, lambda n: (n["tag"] == "#text") & shown(n)), lambda n: F.regexp_replace(n["text"], rf"^{blanks}+|{blanks}+\z", "") if strip else n["text"])
     return F.array_join(F.filter(texts, lambda t: t != "") if strip else texts, separator)
 
 
