@@ -1,9 +1,9 @@
 """Names of a list found in the texts of pages, and the heading that each place stands under.
 
-A page's texts are cut into runs of words, lower-cased and without marks, of the lengths that names have; names and runs meet
-by equality of page and run, so no name is compared with a text that doesn't hold it. Each run knows the nearest heading
-before it, as the texts are read in document order. A name of more than ``LONGEST`` words is looked for by its first ones, and
-verified in the text.
+A page's texts are cut into runs of words, lower-cased and without marks, of the lengths that names have and where one of them
+may begin. Texts meet the names of their key in blocks, and runs and names meet by equality within such a row, so no name is
+compared with a text that doesn't hold it. Each text knows the nearest heading before it, as the texts are read in document
+order. A name of more than ``LONGEST`` words is looked for by its first ones, and verified in the text.
 
 Defined results: a name without words is found nowhere; a name that a text holds twice is one row for each place; a null page
 has no texts; names of pages that aren't there have no rows.
@@ -21,8 +21,8 @@ from moothall.functions import text
 from moothall.operators import matching, tree
 from moothall.operators.selectors import steps
 
-#: Words of the longest run that is looked up.
-LONGEST = 4
+#: Words of the longest run that is looked up, and names of a key that a text meets at once.
+LONGEST, TOGETHER = 4, 500
 
 _TEXTS = "array<struct<at:int,text:string,heading:string,tag:string>>"
 
@@ -56,16 +56,36 @@ def words(x: Column) -> Column:
     return F.filter(F.split(text.slugify(x), "-"), lambda w: w != "")
 
 
+def _runs(said: Column, starts: Column) -> Column:
+    """The runs of a text's words from these places that are looked up."""
+    of = lambda k: F.transform(F.filter(starts, lambda i: i + k <= F.size(said)), lambda i: F.array_join(F.slice(said, i + 1, k), " "))
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.lit(LONGEST)), of))
+
+
+def _blocks(own: DataFrame, key: str) -> DataFrame:
+    """(key, names, looked, heads): the names of a key in blocks of ``TOGETHER``, about, the runs that they are looked for by, and
+    their first words."""
+    parts = own.groupBy(key).agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
+    dealt = own.join(parts, key).withColumn("part", F.pmod(F.xxhash64("run"), F.col("parts")))
+    names = F.collect_list(F.struct("name", "words", "run")).alias("names")
+    return dealt.groupBy(key, "part").agg(names).select(key, "names", F.array_distinct("names.run").alias("looked"), F.array_distinct(F.transform("names", lambda x: x["words"][0])).alias("heads"))
+
+
 def mentions(names: DataFrame, pages: DataFrame, key: str = "council_id", name: str = "name", html: str = "content", closed: bool = False) -> DataFrame:
     """(key, name, at, heading, tag, text) of each place of each name in the pages of its key: ``at`` is the text's place, ``heading``
     the nearest one before it."""
-    own = names.select(key, name).distinct().withColumn("words", words(F.col(name))).where(F.size("words") > 0)
+    own = names.select(key, F.col(name).alias("name")).distinct().withColumn("words", words(F.col("name"))).where(F.size("words") > 0)
     own = own.withColumn("run", F.array_join(F.slice("words", 1, LONGEST), " "))
-    texts = pages.select(key, F.inline(texts_under(F.col(html), closed=closed))).withColumn("all", words(F.col("text")))
-    n = F.size("all")
-    # as many runs as a text has words, times LONGEST
-    at = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(LONGEST)), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(i.alias("i"), k.alias("k")))).otherwise(F.array().cast("array<struct<i:int,k:int>>"))))
-    runs = texts.select("*", F.explode(at).alias("r")).withColumn("run", F.array_join(F.slice("all", F.col("r.i") + 1, F.col("r.k")), " "))
-    met = runs.join(own, [key, "run"]).where(F.least(F.size("words"), F.lit(LONGEST)) == F.col("r.k"))
-    whole = F.slice("all", F.col("r.i") + 1, F.size("words")) == F.col("words")
-    return met.where(whole).select(key, name, "at", "heading", "tag", "text")
+    # texts move once for each block of their key's names, and runs not at all
+    texts = pages.select(key, F.inline(texts_under(F.col(html), closed=closed)))
+    met = texts.join(_blocks(own, key), key)
+    # generators, as projections would be copied into each place that uses them
+    once = lambda x, alias: met.select("*", F.explode(F.array(x)).alias(alias))
+    met = once(words(F.col("text")), "all")
+    met = once(F.array_intersect("heads", "all"), "begun").where(F.size("begun") > 0)
+    met = once(F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.array_contains("begun", F.get("all", i))), "starts")
+    met = once(F.array_intersect("looked", _runs(F.col("all"), F.col("starts"))), "held").where(F.size("held") > 0)
+    met = met.select("*", F.explode(F.filter("names", lambda x: F.array_contains("held", x["run"]))).alias("named"))
+    places = F.filter("starts", lambda i: F.slice("all", i + 1, F.size("named.words")) == F.col("named.words"))
+    found = met.select("*", F.explode(places))
+    return found.select(key, F.col("named.name").alias(name), "at", "heading", "tag", "text")

@@ -43,3 +43,21 @@ def test_names_on_pages(spark):
     assert got == [("X", "Ann-Marie O'Neill", "East Ward", "li"), ("X", "Bo Luk", "East Ward", "li"), ("X", "Bo Luk", "East Ward", "li"), ("X", "long name of many words", "West", "body"), ("Y", "bo luk", None, "p")]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Contains" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_names_are_looked_for_in_blocks(spark, monkeypatch):
+    """Texts move once for each block of names; before, each run of a text's words moved with the whole text. Places are the same."""
+    monkeypatch.setattr(mentions, "TOGETHER", 2, raising=False)
+    said = [f"w{i} w{i + 1} w{i % 3} w{i} and on" for i in range(12)]
+    pages = spark.createDataFrame([(k, "<h2>Top</h2>" + "".join(f"<p>{x}</p>" for x in said)) for k in (1, 1, 2, 3)], "council_id long, content string")
+    look = [(k, name) for k in (1, 2, 4) for name in ("W3", "w3 w4", "w1 w2 w1 w1 and on", "w1 w2 w1 w1 and off", "and", "on w1", "w11", "a b")]
+    found = mentions.mentions(spark.createDataFrame(look, "council_id long, name string"), pages)
+    want = []
+    for k, name in look:
+        n = len(name.split())
+        for x in said * {1: 2, 2: 1}.get(k, 0):
+            want += [(k, name, x)] * sum(x.split()[i : i + n] == name.lower().split() for i in range(len(x.split())))
+    assert sorted(map(tuple, found.select("council_id", "name", "text").collect())) == sorted(want)
+    # no run of words is a row before texts and names have met
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan[plan.index("Join") :]
